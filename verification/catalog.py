@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from verification import silver_sql  # noqa: F401
+from verification import clean_queries, silver_sql, source_queries  # noqa: F401
 from verification.registry import duckdb_queries, spark_queries  # noqa: F401
