@@ -1,4 +1,12 @@
 """All registered queries."""
 
-from verification import clean_queries, silver_sql, source_queries  # noqa: F401
+from verification import (  # noqa: F401
+    check_queries,
+    clean_queries,
+    gold_queries,
+    join_queries,
+    merge_queries,
+    silver_sql,
+    source_queries,
+)
 from verification.registry import duckdb_queries, spark_queries  # noqa: F401

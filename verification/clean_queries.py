@@ -295,7 +295,8 @@ def scalar_fiscal(t: Tables) -> DataFrame:
 @query(
     """SELECT 'order' AS entity, count(DISTINCT o_orderkey) AS n_keys, count(DISTINCT o_orderkey) AS n_surrogates FROM {orders}
        UNION ALL SELECT 'part', count(DISTINCT p_partkey), count(DISTINCT p_partkey) FROM {part}
-       UNION ALL SELECT 'customer day', count(DISTINCT (o_custkey, o_orderdate)), count(DISTINCT (o_custkey, o_orderdate)) FROM {orders}"""
+       UNION ALL SELECT 'customer day', count(DISTINCT (o_custkey, o_orderdate)), count(DISTINCT (o_custkey, o_orderdate)) FROM {orders}""",
+    name="surrogate_key",
 )
 def surrogate_key_unique(t: Tables) -> DataFrame:
     """Different business keys get different surrogate keys."""
