@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cairnlake.functions.keys import surrogate_key
+
 
 def total_order(df: DataFrame, first: Sequence[Column] = (), skip: Sequence[str] = ()) -> list[Column]:
     """``first``, then every other column ascending, so a survivor is never arbitrary."""
@@ -42,18 +44,19 @@ def flag_repeated(
     """Mark rows alike in all ``group`` values with a row of another ``identity``, where ``present`` is set.
 
     ``among`` holds the rows to look for twins in (default: ``df`` itself). Twins are
-    found with a pre-aggregated min and max of the identity joined back to the rows,
-    not with a window: a group holding a large part of the table is reduced before
-    the shuffle, and its rows stay spread (a skewed join side is split). The struct
-    key makes NULL equal NULL, as grouping does.
+    found with a pre-aggregated min and max of the identity's surrogate key (a number,
+    so the hash aggregate applies) joined back to the rows, not with a window: a group
+    holding a large part of the table is reduced before the shuffle, and its rows stay
+    spread (a skewed join side is split). The struct key makes NULL equal NULL, as
+    grouping does.
     """
     alike = F.when(F.col(present).isNotNull(), F.struct(*group))
     twins = (
         (df if among is None else among)
-        .select(alike.alias("_group"), identity)
-        .filter("_group IS NOT NULL")
+        .filter(F.col(present).isNotNull())
+        .select(alike.alias("_group"), surrogate_key(identity).alias("_id"))
         .groupBy("_group")
-        .agg(F.min(identity).alias("_lo"), F.max(identity).alias("_hi"))
+        .agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi"))
         .filter("_lo <> _hi")
         .select("_group", F.lit(True).alias("_repeated"))
     )

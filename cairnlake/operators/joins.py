@@ -63,27 +63,31 @@ def as_of_version(
     """Left join each row to the version of its key that was valid on ``day``.
 
     Periods are half open and do not overlap, so the row count never changes. The
-    key is the equality, the period the residual. Rows of a hot key are salted over
-    several tasks and the few versions of that key copied to each of them. ``hot``
-    may come from any cheaper count of the same key: it steers distribution only.
-    ``lookups`` are (table, columns) pairs unique on the same key; they are left
-    joined on the same partitioning, so ``df`` is shuffled once for all of them.
+    key is the equality, the period the residual. With ``hot`` (see ``skew.hot_keys``)
+    the rows of those keys are salted by a hash of the ``spread`` columns over several
+    tasks and the few versions of the key copied to each of them; ``hot`` may come from
+    any cheaper count of the same key, as it steers distribution only. ``lookups`` are
+    (table, columns) pairs unique on the same key; they are left joined on the same
+    partitioning, so ``df`` is shuffled once for all of them.
     """
-    per_key = skew.salts(skew.hot_keys(df, key, hot_rows) if hot is None else hot, key, hot_rows)
-    left = skew.salt_rows(df, key, per_key, spread or df.columns)
-    right = skew.replicate_rows(versions.select(key, "valid_from", "valid_to", *values), key, per_key)
-    right = right.withColumnsRenamed(
-        {key: "_v_key", "valid_from": "_v_from", "valid_to": "_v_to", "_salt": "_v_salt"}
+    on = [key]
+    periods = versions.select(
+        key, F.col("valid_from").alias("_from"), end_or_far_future().alias("_until"), *values
     )
-    met = (
-        (F.col(key) == F.col("_v_key"))
-        & (F.col("_salt") == F.col("_v_salt"))
-        & (F.to_date(day) >= F.col("_v_from"))
-        & (F.to_date(day) < end_or_far_future("_v_to"))
-    )
-    out = left.join(right, met, "left").drop("_v_key", "_v_from", "_v_to", "_v_salt")
-    for table, columns in lookups:
-        out = out.join(skew.replicate_rows(table.select(key, *columns), key, per_key), [key, "_salt"], "left")
+    tables = [(table.select(key, *columns), columns) for table, columns in lookups]
+    if hot is not None:
+        on = [key, "_salt"]
+        per_key = skew.salts(hot, key, hot_rows)
+        df = skew.salt_rows(df, key, per_key, spread or df.columns)
+        periods = skew.replicate_rows(periods, key, per_key)
+        tables = [(skew.replicate_rows(table, key, per_key), columns) for table, columns in tables]
+    date = F.to_date(F.col(f"d.{day}"))
+    met = (date >= F.col("v._from")) & (date < F.col("v._until"))
+    for k in on:
+        met = met & (F.col(f"d.{k}") == F.col(f"v.{k}"))
+    out = df.alias("d").join(periods.alias("v"), met, "left").select("d.*", *[f"v.{c}" for c in values])
+    for table, _ in tables:
+        out = out.join(table, on, "left")
     return out.drop("_salt")
 
 

@@ -118,22 +118,31 @@ def update_matched(
 def fold_batches(
     batches: DataFrame,
     keys: Sequence[str],
-    newest: Sequence[Column],
+    recency: Sequence[str],
     keep_first: Sequence[str] = (),
     null_keys: bool = True,
 ) -> DataFrame:
     """The table a guarded upsert of all batches in order would leave, in one pass.
 
-    Columns outside the update list (``keep_first``) hold the value of the first batch.
-    Rows with a NULL key were all inserted, so all of them stay; ``null_keys=False``
-    promises there are none.
+    The row with the highest ``recency`` columns wins. Columns outside the update list
+    (``keep_first``) hold the value of the first batch. Rows with a NULL key were all
+    inserted, so all of them stay; ``null_keys=False`` promises there are none.
     """
     keyed = batches.filter(~_any_null(keys)) if null_keys else batches
-    latest = latest_per_key(keyed, keys, total_order(keyed, newest, skip=keys))
     if keep_first:
-        oldest_order = [F.col("batch_id").asc(), *total_order(keyed, newest, skip=keys)]
-        oldest = latest_per_key(keyed, keys, oldest_order).select(*keys, *keep_first)
-        latest = latest.drop(*keep_first).join(oldest, list(keys)).select(*batches.columns)
+        # First and last row of a key from the same partially aggregated shuffle.
+        rest = [c for c in keyed.columns if c not in {*keys, *recency, *keep_first}]
+        ends = keyed.groupBy(*keys).agg(
+            F.max(F.struct(*recency, *rest)).alias("_last"),
+            F.min(F.struct(*recency, *keep_first)).alias("_first"),
+        )
+        taken = {c: "_first" for c in keep_first} | {c: "_last" for c in [*recency, *rest]}
+        latest = ends.select(
+            *[F.col(f"{taken[c]}.{c}").alias(c) if c in taken else F.col(c) for c in batches.columns]
+        )
+    else:
+        newest = [F.col(c).desc_nulls_last() for c in recency]
+        latest = latest_per_key(keyed, keys, total_order(keyed, newest, skip=keys))
     return latest.unionByName(batches.filter(_any_null(keys))) if null_keys else latest
 
 

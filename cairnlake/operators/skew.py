@@ -13,17 +13,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HOT_ROWS = 5_000_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and their count.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows and their count, or None when there is no such key.
 
-    At most ``total rows / hot_rows`` rows come out (200,000 of one key and one
-    count for 10**12 rows), which is the bound that makes broadcasting them safe.
+    One partially aggregated pass over the key column decides it before the real plan
+    is built, so tables without a hot key get the plain plan. At most
+    ``total rows / hot_rows`` keys can come out (200,000 for 10**12 rows): that is the
+    bound that makes fetching and broadcasting them safe.
     """
-    return (
+    heavy = (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .filter((F.col("n_rows") > hot_rows) & F.col(key).isNotNull())
     )
+    found = heavy.collect()
+    return df.sparkSession.createDataFrame(found, heavy.schema) if found else None
 
 
 def salts(hot: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -62,31 +66,41 @@ def sequence_in_group(
     count_as: str,
     sequence_as: str,
     hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the size of each row's group and the row's place in it.
 
     ``order`` must be unique inside a group (NULLs first). A row without a group
-    counts as a group of its own. Ordinary groups use one window. A hot group is
-    cut into cells that grow with ``order``: rows are ranked inside their cell and
-    shifted by the number of rows in earlier cells, so no task sees a whole hot group.
+    counts as a group of its own. Ordinary groups use one window. The groups listed in
+    ``hot`` are cut into cells that grow with ``order``: rows are ranked inside their
+    cell and shifted by the number of rows in earlier cells, so no task sees a whole
+    hot group.
     """
+    alone = F.when(F.col(group).isNull(), F.col(order[-1]))
+    w = Window.partitionBy(group, alone)
+
+    def by_window(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(
+            {
+                count_as: F.count(F.lit(1)).over(w),
+                sequence_as: F.row_number().over(w.orderBy(*order)).cast("long"),
+            }
+        )
+
     if hot is None:
-        hot = hot_keys(df, group, hot_rows)
+        return by_window(df)
     hot = F.broadcast(hot.select(group, F.col("n_rows").alias(count_as)))
-    last = order[-1]
-    alone = F.when(F.col(group).isNull(), F.col(last))
-    w = Window.partitionBy(group, alone)
-    ordinary = (
-        df.join(hot, group, "left_anti")
-        .withColumn(count_as, F.count(F.lit(1)).over(w))
-        .withColumn(sequence_as, F.row_number().over(w.orderBy(*order)).cast("long"))
+    ordinary = by_window(df.join(hot, group, "left_anti"))
+    heavy = df.join(hot.select(group), group).withColumn(
+        "_cell", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cell)])
     )
-
-    heavy = df.join(hot, group).withColumn("_cell", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cell)]))
     cells = heavy.groupBy(group, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = cells.select(group, "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    earlier = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = cells.select(
+        group,
+        "_cell",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"),
+        F.sum("_n").over(Window.partitionBy(group)).alias(count_as),
+    )
     in_cell = Window.partitionBy(group, "_cell").orderBy(*order)
     ranked = (
         heavy.withColumn("_place", F.row_number().over(in_cell))

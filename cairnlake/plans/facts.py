@@ -56,7 +56,10 @@ def fact_sales_order(
     hot_customers: DataFrame | None = None,
     hot_rows: int = skew.HOT_ROWS,
 ) -> DataFrame:
-    """One row per order: latest invoice in GBP, the customer version of the order date, account, channel, payment."""
+    """One row per order: latest invoice in GBP, the customer version of the order date, account, channel, payment.
+
+    ``hot_customers`` lists customers with very many orders (``skew.hot_keys`` on customer_id).
+    """
     billed = joins.in_month(
         invoice_by_order(invoices), rates, "currency", "invoice_date", "rate_month", ["rate_to_gbp"]
     ).join(payment_by_invoice(payments), "invoice_number", "left")
@@ -118,13 +121,11 @@ def fact_sales_order_lines(lines: DataFrame, sales_orders: DataFrame, products:
     )
 
 
-def fact_shipment(
-    shipments: DataFrame,
-    sales_orders: DataFrame,
-    hot_orders: DataFrame | None = None,
-    hot_rows: int = skew.HOT_ROWS,
-) -> DataFrame:
-    """One row per shipment: cycle times in days, delivery state, place among the order's shipments."""
+def fact_shipment(shipments: DataFrame, sales_orders: DataFrame, hot_orders: DataFrame | None = None) -> DataFrame:
+    """One row per shipment: cycle times in days, delivery state, place among the order's shipments.
+
+    ``hot_orders`` lists orders with very many shipments (``skew.hot_keys`` on order_id).
+    """
     order = sales_orders.select(
         F.col("order_number").alias("order_id"), "order_sk", F.col("customer_sk").alias("ship_to_customer_sk"),
         "order_date",
@@ -139,9 +140,7 @@ def fact_shipment(
         F.to_date("delivery_date").alias("delivery_date"),
         "batch_id",
     )
-    if hot_orders is None:
-        hot_orders = skew.hot_keys(shipments, "order_id", hot_rows)
-    placed = place_in_order(joined, hot_orders.withColumnRenamed("order_id", "sales_order_number"))
+    placed = place_in_order(joined, hot_orders)
     delivered = F.col("delivery_date").isNotNull()
     return placed.select(
         *joined.columns,
@@ -159,11 +158,14 @@ def fact_shipment(
     )
 
 
-def place_in_order(shipments: DataFrame, hot_orders: DataFrame | None = None, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+def place_in_order(shipments: DataFrame, hot_orders: DataFrame | None = None) -> DataFrame:
     """Shipments per order and each one's place by ship date, then number.
 
-    A shipment without order is the only one of its kind: count 1, place 1.
+    A shipment without order is the only one of its kind: count 1, place 1. Hot orders
+    are cut by ship date and the leading characters of the shipment number.
     """
+    if hot_orders is not None:
+        hot_orders = hot_orders.withColumnRenamed("order_id", "sales_order_number")
     return skew.sequence_in_group(
         shipments,
         "sales_order_number",
@@ -172,7 +174,6 @@ def place_in_order(shipments: DataFrame, hot_orders: DataFrame | None = None, ho
         "shipment_count_on_order",
         "shipment_sequence",
         hot=hot_orders,
-        hot_rows=hot_rows,
     )
 
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cairnlake.operators import clean, dedup, merge, scd2
 from cairnlake.sources.feeds import FEEDS, LINEAGE, Feed
 
 
-def _newest_first(df: DataFrame) -> list[Column]:
+def _recency(df: DataFrame) -> list[str]:
     """Later batch, then later load time, then (customers) later created date wins."""
-    recency = [c for c in ("batch_id", "_loaded_at", "customer_created_date") if c in df.columns]
-    return [F.col(c).desc_nulls_last() for c in recency]
+    return [c for c in ("batch_id", "_loaded_at", "customer_created_date") if c in df.columns]
 
 
 def _renamed(df: DataFrame, feed: Feed) -> DataFrame:
@@ -23,7 +22,7 @@ def _renamed(df: DataFrame, feed: Feed) -> DataFrame:
         name = feed.rename.get(f.name, f.name)
         value = F.col(f.name)
         if feed.tidy_text and isinstance(f.dataType, T.StringType) and f.name not in LINEAGE:
-            value = clean.tidy(value)
+            value = clean.tidy(f.name)
         if name in feed.recodes:
             value = clean.recode(value, feed.recodes[name])
         if name in feed.title_case:
@@ -43,11 +42,16 @@ def _flagged(df: DataFrame, feed: Feed, delivered: DataFrame) -> DataFrame:
 
 
 def prepared(bronze: DataFrame, feed: Feed) -> DataFrame:
-    """Conformed rows before deduplication."""
+    """Conformed rows before deduplication.
+
+    Required keys are tested under their delivered names, where the scan can apply
+    the test; no cleaning step turns a present value into NULL.
+    """
+    if feed.required:
+        delivered = {new: old for old, new in feed.rename.items()}
+        bronze = clean.require_keys(bronze, [delivered.get(k, k) for k in feed.required])
     df = _renamed(bronze, feed)
-    if feed.derive:
-        df = df.withColumns({name: make() for name, make in feed.derive.items()})
-    return clean.require_keys(df, feed.required) if feed.required else df
+    return df.withColumns({name: make() for name, make in feed.derive.items()}) if feed.derive else df
 
 
 def conform(bronze: DataFrame, feed: Feed | str) -> DataFrame:
@@ -59,7 +63,7 @@ def conform(bronze: DataFrame, feed: Feed | str) -> DataFrame:
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     df = prepared(bronze, feed)
     latest = merge.fold_batches(
-        df, feed.key, _newest_first(df), feed.keep_first, null_keys=not set(feed.key) <= set(feed.required)
+        df, feed.key, _recency(df), feed.keep_first, null_keys=not set(feed.key) <= set(feed.required)
     )
     return _flagged(latest.drop("_loaded_at"), feed, df)
 

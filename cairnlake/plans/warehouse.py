@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.functions.calendar import calendar, spanning_bounds
-from cairnlake.operators import checks
+from cairnlake.operators import checks, skew
 from cairnlake.plans import dimensions, facts
 
 
@@ -54,10 +54,11 @@ def build_gold(silver: Mapping[str, DataFrame], folder: str) -> dict[str, DataFr
         facts.fact_sales_order(
             silver["sales_order"], silver["invoice"], silver["payment"], silver["exchange_rates"],
             customers, accounts, silver["channels"],
+            hot_customers=skew.hot_keys(silver["sales_order"], "customer_id"),
         ),
     )
     store("fact_sales_order_lines", facts.fact_sales_order_lines(silver["sales_order_lines"], orders, products))
-    store("fact_shipment", facts.fact_shipment(silver["shipment"], orders))
+    store("fact_shipment", facts.fact_shipment(silver["shipment"], orders, skew.hot_keys(silver["shipment"], "order_id")))
     store("fact_campaign", facts.fact_campaign(silver["campaign_log"], campaigns))
     store(
         "bridge_campaign_product",

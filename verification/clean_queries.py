@@ -173,7 +173,7 @@ def _places(t: Tables) -> DataFrame:
     rows = t.silver("shipment").select(
         F.col("shipment_id").alias("shipment_number"), F.col("order_id").alias("sales_order_number"), "ship_date"
     )
-    return facts.place_in_order(rows)
+    return facts.place_in_order(rows, t.hot_orders)
 
 
 @query(
@@ -220,7 +220,7 @@ def scalar_string(t: Tables) -> DataFrame:
     return t.feed("f_sales_order").select(
         F.col("ORDER_NO").alias("order_number"),
         F.trim("ORD_STATUS").alias("trimmed"),
-        F.initcap(clean.tidy(F.col("ORD_STATUS"))).alias("titled"),
+        F.initcap(clean.tidy("ORD_STATUS")).alias("titled"),
         F.concat("ORDER_NO", F.lit("/"), F.col("CUST_ID").cast("string")).alias("joined"),
         F.concat_ws("||", "ORDER_NO", "order_source", "PRIORITY_CD").alias("joined_present"),
         F.col("CHANNEL_CD").cast("string").alias("as_text"),

@@ -180,7 +180,7 @@ def fact_sales_order_lines(t: Tables) -> DataFrame:
        FROM {g_fact_shipment}"""
 )
 def fact_shipment(t: Tables) -> DataFrame:
-    return without_keys(facts.fact_shipment(t.silver("shipment"), t.fact_sales_order))
+    return without_keys(facts.fact_shipment(t.silver("shipment"), t.fact_sales_order, t.hot_orders))
 
 
 @query(

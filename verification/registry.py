@@ -44,9 +44,11 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self._frames: dict[str, DataFrame] = {}
+        self._silver: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return standins.frame(self.spark, self.sf_dir, name)
+        return standins.frame(self.spark, self.sf_dir, name, self._frames)
 
     feed = base
 
@@ -54,7 +56,9 @@ class Tables:
         return self.base(BRONZE[name])
 
     def silver(self, name: str) -> DataFrame:
-        return silver(self.bronze(name), name)
+        if name not in self._silver:
+            self._silver[name] = silver(self.bronze(name), name)
+        return self._silver[name]
 
     def path(self, label: str) -> str:
         return work_path(self.spark, label)
@@ -79,11 +83,16 @@ class Tables:
         return dimensions.dim_campaign(self.silver("campaign_log"))
 
     @cached_property
-    def hot_customers(self) -> DataFrame:
+    def hot_customers(self) -> DataFrame | None:
         """Heavy customers counted on the raw orders, which is cheaper than on silver."""
         raw = self.bronze("sales_order").select(F.col("CUST_ID").cast("string").alias("customer_id"))
         return skew.hot_keys(raw, "customer_id")
 
+    @cached_property
+    def hot_orders(self) -> DataFrame | None:
+        """Orders with very many shipments."""
+        return skew.hot_keys(self.bronze("shipment"), "order_id")
+
     @cached_property
     def fact_sales_order(self) -> DataFrame:
         return facts.fact_sales_order(

@@ -241,12 +241,17 @@ def references(text: str) -> list[str]:
     return list(dict.fromkeys(field for _, field, _, _ in Formatter().parse(text) if field))
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table or a stand-in feed as a lazy DataFrame."""
-    if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = FEEDS[name]
-    return spark.sql(text, **{ref: frame(spark, sf_dir, ref) for ref in references(text)})
+def frame(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A base table or a stand-in feed as a lazy DataFrame; ``known`` keeps plans already built."""
+    known = {} if known is None else known
+    if name not in known:
+        if name in BASE_TABLES:
+            known[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            text = FEEDS[name]
+            parts = {ref: frame(spark, sf_dir, ref, known) for ref in references(text)}
+            known[name] = spark.sql(text, **parts)
+    return known[name]
 
 
 def with_clause(body: str, library: dict[str, str]) -> str:
