@@ -184,8 +184,9 @@ def fact_shipment(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(l.campaign_id AS INT) < 25 AS has_campaign, p.product_id IS NOT NULL AS has_product, count(*) AS n_pairs
-       FROM {s_campaign_sku} l LEFT JOIN {g_dim_product} p ON p.product_id = l.campaign_sku GROUP BY ALL"""
+    """SELECT c.campaign_id IS NOT NULL AS has_campaign, p.product_id IS NOT NULL AS has_product, count(*) AS n_pairs
+       FROM {s_campaign_sku} l LEFT JOIN {g_dim_campaign} c ON c.campaign_id = l.campaign_id
+       LEFT JOIN {g_dim_product} p ON p.product_id = l.campaign_sku GROUP BY ALL"""
 )
 def bridge_campaign_product(t: Tables) -> DataFrame:
     pairs = dimensions.bridge_campaign_product(t.silver("campaign_sku"), t.dim_campaign, t.dim_product)
