@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cairnlake.operators.dedup import latest_per_key, total_order
 
@@ -146,24 +147,49 @@ def fold_batches(
     return latest.unionByName(batches.filter(_any_null(keys))) if null_keys else latest
 
 
-def upsert_partitions(path: str, source: DataFrame, keys: Sequence[str], update: Sequence[str],
-                      partition: str, guard: str | None = None) -> None:
-    """Upsert into a table partitioned by a column that never changes for a key.
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path`` under the given schema, or None before its first load."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-    Only the partitions named by the source are read, joined and rewritten, so a
-    monthly batch does not rewrite the whole history. The partition column takes part
-    in the match; dynamic overwrite swaps the touched partitions at commit.
+
+def upsert_table(
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    partition: str,
+    guard: str | None = None,
+    at: Column | None = None,
+    null_keys: str = "insert",
+) -> None:
+    """Create a stored table from ``source`` or upsert into it, with audit columns.
+
+    ``partition`` must never change for a key. Only the partitions the source names are
+    read, joined and rewritten (the few values are fetched to become a static partition
+    filter), so a monthly batch does not rewrite the whole history; dynamic overwrite
+    swaps them when the job commits. The source is one batch and used twice, so it is
+    kept (memory, then disk) for the length of the call.
     """
-    spark = source.sparkSession
-    touched = source.select(partition).distinct()
-    target = spark.read.parquet(path)
-    target = target.withColumn(partition, F.col(partition).cast(source.schema[partition].dataType))
-    affected = target.join(touched, partition, "left_semi")
-    merged = upsert(affected, source, [*keys, partition], update, guard)
-    (
-        merged.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    source = with_audit(source, at).persist()
+    try:
+        target = stored(source.sparkSession, path, source.schema)
+        if target is None:
+            state = source
+        else:
+            touched = [r[0] for r in source.select(partition).distinct().collect()]
+            affected = target.filter(F.col(partition).isin(touched))
+            state = upsert(affected, source, [*keys, partition], update, guard, null_keys)
+        overwrite_partitions(state.hint("rebalance", partition), path, partition)
+    finally:
+        source.unpersist()
+
+
+def overwrite_partitions(df: DataFrame, path: str, *partition: str) -> None:
+    """Replace exactly the partitions ``df`` has rows for; they are swapped when the job commits."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition).parquet(path)

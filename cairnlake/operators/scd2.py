@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnlake.functions.keys import row_hash
+from cairnlake.operators.merge import overwrite_partitions, stored
 
 VERSION_COLUMNS = ("row_hash", "valid_from", "valid_to", "is_current")
 # Fixed value: the end date a version without one is compared with.
@@ -77,6 +78,14 @@ def merge_versions(
     the same day (a batch run again) overwrites the version in place. Closed
     versions and keys the batch does not mention stay as they are.
     """
+    rest = target.filter("NOT is_current")
+    return rest.unionByName(touched_versions(target, source, key, tracked, effective_from).select(*target.columns))
+
+
+def touched_versions(
+    target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], effective_from: Column | None = None
+) -> DataFrame:
+    """What one batch makes of the open versions: those kept, overwritten, closed and opened."""
     start = batch_start() if effective_from is None else effective_from
     payload = [c for c in source.columns if c != key]
     src = open_versions(source, tracked, start)
@@ -107,9 +116,30 @@ def merge_versions(
         .when(in_place, F.array(overwritten))
         .otherwise(F.array(closed, new))
     )
-    touched = both.select(key, F.explode(outcome).alias("_row")).select(key, "_row.*")
-    rest = target.filter("NOT is_current")
-    return rest.unionByName(touched.select(*target.columns))
+    return both.select(key, F.explode(outcome).alias("_row")).select(key, "_row.*")
+
+
+def store_history(versions: DataFrame, path: str) -> None:
+    """Write a version table partitioned by end date; open versions share the NULL partition."""
+    versions.hint("rebalance", "valid_to").write.partitionBy("valid_to").parquet(path)
+
+
+def merge_stored(
+    path: str, source: DataFrame, key: str, tracked: Sequence[str], effective_from: Column | None = None
+) -> None:
+    """Apply one batch to a stored version table.
+
+    Only the partition of open versions is read. One dynamic overwrite replaces it and
+    adds the partition of versions closed on this date, so a batch costs as much as the
+    current customers, not as their history, and running it again adds nothing.
+    """
+    start = batch_start() if effective_from is None else effective_from
+    target = stored(source.sparkSession, path, open_versions(source, tracked, start).schema)
+    if target is None:
+        store_history(open_versions(source, tracked, start), path)
+        return
+    state = touched_versions(target.filter("valid_to IS NULL"), source, key, tracked, effective_from)
+    overwrite_partitions(state.hint("rebalance", "valid_to"), path, "valid_to")
 
 
 def current_versions(versions: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.functions.calendar import calendar, spanning_bounds
-from cairnlake.operators import checks, skew
+from cairnlake.operators import checks, merge, skew
 from cairnlake.plans import dimensions, facts
 
 
@@ -67,6 +67,33 @@ def build_gold(silver: Mapping[str, DataFrame], folder: str) -> dict[str, DataFr
     return gold
 
 
+# Merge key of every gold table; a NULL in it matches nothing, except in the bridge.
+GOLD_KEYS = {
+    "dim_customer": ("customer_sk",),
+    "dim_customer_account": ("bill_to_account_sk",),
+    "dim_product": ("product_sk",),
+    "dim_campaign": ("campaign_sk",),
+    "fact_campaign": ("campaign_sk", "campaign_log_date_id"),
+    "fact_sales_order": ("order_sk",),
+    "fact_sales_order_lines": ("order_line_sk",),
+    "fact_shipment": ("shipment_sk",),
+    "bridge_campaign_product": ("campaign_sk", "product_sk"),
+}
+
+
+def merge_gold(target: DataFrame | None, source: DataFrame, name: str) -> DataFrame:
+    """New state of a gold table after a rebuild: the latest write wins, first creation times stay."""
+    fresh = merge.with_audit(source)
+    keys = GOLD_KEYS[name]
+    if target is None:
+        return fresh
+    if name == "bridge_campaign_product":
+        return merge.insert_new(target, fresh, keys)
+    update = [c for c in fresh.columns if c not in (*keys, "created_timestamp")]
+    null_keys = "insert" if name == "fact_campaign" else "absent"
+    return merge.upsert(target, fresh, keys, update, null_keys=null_keys)
+
+
 SURROGATE_KEYS = {
     "dim_customer": "customer_sk",
     "dim_customer_account": "bill_to_account_sk",

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cairnlake.operators.merge import overwrite_partitions
 from cairnlake.sources.feeds import Feed
 
 BATCH_FORMAT = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
@@ -59,11 +60,17 @@ def require_batch_id(batch_id: str) -> str:
 def replace_batch(df: DataFrame, table: str, batch_id: str) -> None:
     """Make one batch of a bronze table exactly ``df``; other batches are not touched.
 
-    The batch's own partition folder is overwritten, so running a batch again never
-    duplicates it and an empty delivery empties the batch.
+    Dynamic overwrite swaps the batch's partition when the job commits, so running a
+    batch again never duplicates it and a failed run leaves the old rows. It would leave
+    them for an empty delivery too, so that case overwrites the partition folder itself.
     """
-    folder = f"{table}/batch_id={require_batch_id(batch_id)}"
-    df.drop("batch_id").write.mode("overwrite").parquet(folder)
+    require_batch_id(batch_id)
+    delivered = df.drop("batch_id")
+    if delivered.isEmpty():
+        delivered.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        return
+    stamped = delivered.withColumn("batch_id", F.lit(batch_id))
+    overwrite_partitions(stamped, table, "batch_id")
 
 
 def replace_batches(df: DataFrame, table: str) -> None:
@@ -72,13 +79,7 @@ def replace_batches(df: DataFrame, table: str) -> None:
     The rebalance hint lets adaptive execution split a large month over several
     tasks and files and merge small ones.
     """
-    (
-        df.hint("rebalance", "batch_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(table)
-    )
+    overwrite_partitions(df.hint("rebalance", "batch_id"), table, "batch_id")
 
 
 def read_table(spark: SparkSession, table: str, schema: str | T.StructType | None = None) -> DataFrame:

@@ -131,3 +131,11 @@ def test_required_keys_reach_the_scan(spark, tmp_path):
     text = plan(prepared(stored, feed).select("shipment_id"))
     assert "PushedFilters: [IsNotNull(shipment_id)]" in text
     assert "ReadSchema: struct<shipment_id:string>" in text
+
+
+@pytest.mark.parametrize("name", sorted(warehouse.GOLD_KEYS))
+def test_rebuilding_gold_changes_no_row(tables, name):
+    _, gold = tables.stored()
+    once = warehouse.merge_gold(None, gold[name], name)
+    twice = warehouse.merge_gold(once, gold[name], name)
+    assert rows(twice.select(*gold[name].columns)) == rows(gold[name])

@@ -95,21 +95,26 @@ def test_update_matched_needs_the_state(spark):
     assert rows(out) == [("1", "done"), ("2", "completed"), ("3", "in-progress")]
 
 
-def test_upsert_partitions_rewrites_only_touched_ones(spark, tmp_path):
-    path = str(tmp_path / "table")
-    data = spark.createDataFrame(
-        [("a", 1, "2024-01"), ("b", 2, "2024-01"), ("c", 3, "2024-02")], "k string, v int, month string"
-    )
-    data.write.partitionBy("month").parquet(path)
+def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k string, v int, month string"
+    data = [("a", 1, "2024-01"), ("b", 2, "2024-01"), ("c", 3, "2024-02")]
+    merge.upsert_table(path, spark.createDataFrame(data, schema), ["k"], ["v"], "month", at=F.lit("t1"))
     before = {p.name for p in (tmp_path / "table" / "month=2024-02").glob("*.parquet")}
-    source = spark.createDataFrame([("a", 10, "2024-01"), ("d", 40, "2024-03")], "k string, v int, month string")
+    source = spark.createDataFrame([("a", 10, "2024-01"), ("d", 40, "2024-03")], schema)
     for _ in range(2):
-        merge.upsert_partitions(path, source, ["k"], ["v"], "month")
-    out = spark.read.schema("k string, v int, month string").parquet(path)
-    assert rows(out) == [("a", 10, "2024-01"), ("b", 2, "2024-01"), ("c", 3, "2024-02"), ("d", 40, "2024-03")]
+        merge.upsert_table(path, source, ["k"], ["v"], "month", at=F.lit("t2"))
+    out = merge.stored(spark, path, merge.with_audit(source, F.lit("t")).schema)
+    assert rows(out, "k", "v", "month", "created_timestamp", "updated_timestamp") == [
+        ("a", 10, "2024-01", "t1", "t2"), ("b", 2, "2024-01", "t1", "t1"),
+        ("c", 3, "2024-02", "t1", "t1"), ("d", 40, "2024-03", "t2", "t2"),
+    ]
     assert {p.name for p in (tmp_path / "table" / "month=2024-02").glob("*.parquet")} == before
 
 
+def test_stored_is_none_before_the_first_load(spark, tmp_path):
+    assert merge.stored(spark, str(tmp_path / "absent"), state(spark, ("a", 1, 1, "x")).schema) is None
+
+
 def orders(spark, *data):
     feed = FEEDS["sales_order"]
     made = [(n, None, 7, s, "EXP", 1, 2, src, b) for n, s, src, b in data]

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cairnlake.operators import scd2
+from cairnlake.operators import merge, scd2
 from tests.conftest import rows
 
 SCHEMA = "id string, segment string, city string, manager string, batch_id string"
@@ -100,3 +100,11 @@ def test_backfill(spark):
     out = scd2.backfill(frame(spark, [("1", "A", "x", "m", "2024-01")]), TRACKED, "2024-08-01")
     (r,) = out.collect()
     assert (str(r.valid_from), r.valid_to, r.is_current, len(r.row_hash)) == ("2024-08-01", None, True, 64)
+
+
+def test_stored_history_equals_set_based(spark, tmp_path):
+    data, path = random_feed(5), str(tmp_path / "versions")
+    for month in [*MONTHS, MONTHS[-1]]:
+        scd2.merge_stored(path, frame(spark, [d for d in data if d[-1] == month]), "id", TRACKED)
+    whole = scd2.history(frame(spark, data), "id", TRACKED)
+    assert rows(merge.stored(spark, path, whole.schema)) == rows(whole)

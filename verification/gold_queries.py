@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.functions.calendar import calendar, spanning_bounds
 from cairnlake.operators import joins, scd2
-from cairnlake.plans import dimensions, facts
+from cairnlake.operators.merge import AUDIT_COLUMNS
+from cairnlake.plans import dimensions, facts, warehouse
 from verification.clean_queries import FISCAL_MONTH, FISCAL_QUARTER, FISCAL_YEAR
 from verification.registry import CTES, Tables, query, without_keys
 from verification.silver_sql import replaced
@@ -100,6 +101,15 @@ def dim_campaign(t: Tables) -> DataFrame:
     return without_keys(t.dim_campaign)
 
 
+@query(replaced("g_dim_campaign", ("campaign_start_date", "campaign_end_date")), name="gold_rebuild")
+def campaigns_rebuilt(t: Tables) -> DataFrame:
+    """Campaigns known in mid January, merged with the rebuild from the whole log."""
+    known = dimensions.dim_campaign(t.silver("campaign_log").filter("campaign_log_date < '2024-01-16'"))
+    first = warehouse.merge_gold(None, known, "dim_campaign")
+    merged = warehouse.merge_gold(first, t.dim_campaign, "dim_campaign")
+    return without_keys(merged.drop(*AUDIT_COLUMNS))
+
+
 CTES["g_calendar_days"] = """
     SELECT CAST(unnest(generate_series(
                (SELECT date_trunc('year', least(min(order_date), (SELECT min(ship_date) FROM {s_shipment}))) FROM {s_sales_order}),

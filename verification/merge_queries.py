@@ -20,7 +20,7 @@ _COLUMNS = ("customer_id", "segment", "manager", "first_manager", "batch_id")
 _UPDATED = ("segment", "manager", "batch_id")
 
 
-def _part(t: Tables, name: str) -> DataFrame:
+def _part(t: Tables, name: str, *more: str) -> DataFrame:
     low, high = PARTS[name]
     months = customer_batches(t.bronze("cust_master")).filter((F.col("batch_id") >= low) & (F.col("batch_id") < high))
     rows = dedup.latest_per_key(months, ["customer_id"], [F.col("batch_id").desc()]).select(
@@ -29,6 +29,7 @@ def _part(t: Tables, name: str) -> DataFrame:
         F.col("customer_account_manager").alias("manager"),
         F.col("customer_account_manager").alias("first_manager"),
         "batch_id",
+        *more,
     )
     return merge.with_audit(rows, F.to_date(F.lit(ARRIVED[name])))
 
@@ -84,6 +85,18 @@ def upsert_plain(t: Tables) -> DataFrame:
     return _upserted(t, "cab", None)
 
 
+@query(_replayed("abc", True))
+def upsert_stored(t: Tables) -> DataFrame:
+    """The three parts written one after the other to a table partitioned by the customer's city."""
+    path, city = t.path("contacts"), "customer_city_id"
+    for name in "abc":
+        rows = _part(t, name, city).drop(*merge.AUDIT_COLUMNS)
+        at = F.to_date(F.lit(ARRIVED[name]))
+        merge.upsert_table(path, rows, ["customer_id"], _UPDATED, city, "batch_id", at, null_keys="absent")
+    schema = merge.with_audit(rows, at).schema
+    return merge.stored(t.spark, path, schema).drop(city)
+
+
 @query(
     """SELECT campaign_id, campaign_sku, CASE WHEN CAST(campaign_id AS INT) < 15 THEN 'old' ELSE 'new' END AS origin
        FROM {s_campaign_sku}
@@ -142,6 +155,20 @@ def scd2_merge(t: Tables) -> DataFrame:
     return scd2.merge_versions(scd2.history(before, "customer_id", TRACKED), batch, "customer_id", TRACKED)
 
 
+@query(replaced("s_cust_master", _VERSION_DATES))
+def scd2_stored(t: Tables) -> DataFrame:
+    """History up to May 2001 stored, then every later month applied to the stored table, one of them twice."""
+    path = t.path("versions")
+    months = customer_batches(t.bronze("cust_master"))
+    old = scd2.history(months.filter("batch_id <= '2001-05'"), "customer_id", TRACKED)
+    scd2.store_history(old, path)
+    late = months.filter("batch_id > '2001-05'").select("batch_id").distinct().orderBy("batch_id").collect()
+    for batch in [late[0], *late]:
+        rows = months.filter(F.col("batch_id") == batch.batch_id)
+        scd2.merge_stored(path, rows, "customer_id", TRACKED)
+    return merge.stored(t.spark, path, old.schema)
+
+
 @query(f"SELECT customer_id, batch_id, {ROW_HASH} AS row_hash FROM {{s_customer_batches}}", name="row_hash")
 def hash_of_tracked(t: Tables) -> DataFrame:
     return customer_batches(t.bronze("cust_master")).select("customer_id", "batch_id", row_hash(TRACKED).alias("row_hash"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from verification.registry import BRONZE, CTES, query
+from pyspark.sql import DataFrame, functions as F
+
+from cairnlake.operators.merge import AUDIT_COLUMNS
+from cairnlake.plans.silver import load_batch
+from verification.registry import BRONZE, CTES, Tables, query
 
 
 def tidy(column: str) -> str:
@@ -215,3 +219,16 @@ def _register(table: str) -> None:
 
 for _table in BRONZE:
     _register(_table)
+
+
+@query(
+    replaced("s_sales_order", ("order_date",), extra=", nullif(first_source, 'none') AS order_source", cut="first_source"),
+    name="silver_incremental",
+)
+def loaded_in_steps(t: Tables) -> DataFrame:
+    """Orders loaded as three successive deliveries through the guarded upsert."""
+    bronze, state = t.bronze("sales_order"), None
+    for low, high in (("0000-00", "1997-01"), ("1997-01", "2000-01"), ("2000-01", "9999-99")):
+        part = bronze.filter((F.col("batch_id") >= low) & (F.col("batch_id") < high))
+        state = load_batch(state, part, "sales_order")
+    return state.drop(*AUDIT_COLUMNS)
