@@ -71,6 +71,7 @@ def as_of_version(
     partitioning, so ``df`` is shuffled once for all of them.
     """
     on = [key]
+    spread = list(spread or df.columns)
     periods = versions.select(
         key, F.col("valid_from").alias("_from"), end_or_far_future().alias("_until"), *values
     )
@@ -78,7 +79,7 @@ def as_of_version(
     if hot is not None:
         on = [key, "_salt"]
         per_key = skew.salts(hot, key, hot_rows)
-        df = skew.salt_rows(df, key, per_key, spread or df.columns)
+        df = skew.salt_rows(df, key, per_key, spread)
         periods = skew.replicate_rows(periods, key, per_key)
         tables = [(skew.replicate_rows(table, key, per_key), columns) for table, columns in tables]
     date = F.to_date(F.col(f"d.{day}"))

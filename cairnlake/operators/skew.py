@@ -13,6 +13,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HOT_ROWS = 5_000_000
 
 
+def spread_key(key: str, row_id: str) -> Column:
+    """Join or grouping key in which a NULL becomes a value of its own per row.
+
+    NULL matches nothing, yet all rows with a NULL key would hash to one partition of
+    a left join or a window. The leading NUL character keeps the replacement apart
+    from every real key.
+    """
+    return F.coalesce(F.col(key), F.concat(F.lit("\0"), F.col(row_id)))
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows and their count, or None when there is no such key.
 
@@ -69,14 +79,12 @@ def sequence_in_group(
 ) -> DataFrame:
     """Add the size of each row's group and the row's place in it.
 
-    ``order`` must be unique inside a group (NULLs first). A row without a group
-    counts as a group of its own. Ordinary groups use one window. The groups listed in
-    ``hot`` are cut into cells that grow with ``order``: rows are ranked inside their
-    cell and shifted by the number of rows in earlier cells, so no task sees a whole
-    hot group.
+    ``order`` must be unique inside a group (NULLs first) and ``group`` must be set
+    (see ``spread_key``). Ordinary groups use one window. The groups listed in ``hot``
+    are cut into cells that grow with ``order``: rows are ranked inside their cell and
+    shifted by the number of rows in earlier cells, so no task sees a whole hot group.
     """
-    alone = F.when(F.col(group).isNull(), F.col(order[-1]))
-    w = Window.partitionBy(group, alone)
+    w = Window.partitionBy(group)
 
     def by_window(rows: DataFrame) -> DataFrame:
         return rows.withColumns(

@@ -104,11 +104,17 @@ def fact_sales_order(
 def fact_sales_order_lines(lines: DataFrame, sales_orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order line; keys and dates come from its order, a missing product is the unknown member."""
     order = sales_orders.select(
-        F.col("order_number").alias("order_id"), "customer_sk", "bill_to_account_sk", "order_sk",
+        F.col("order_number").alias("_order"), "customer_sk", "bill_to_account_sk", "order_sk",
         F.col("order_status").alias("order_line_status"), "order_date", "order_date_id",
     )
-    product = products.select(F.col("product_id").alias("product_sku"), "product_sk")
-    joined = lines.join(order, "order_id", "left").join(product, "product_sku", "left")
+    product = products.select(F.col("product_id").alias("_product"), "product_sk")
+    keyed = lines.withColumns(
+        {
+            "_order": skew.spread_key("order_id", "order_line_id"),
+            "_product": skew.spread_key("product_sku", "order_line_id"),
+        }
+    )
+    joined = keyed.join(order, "_order", "left").join(product, "_product", "left")
     return joined.select(
         surrogate_key("order_line_id").alias("order_line_sk"),
         F.col("order_id").alias("sales_order_number"),
@@ -127,10 +133,12 @@ def fact_shipment(shipments: DataFrame, sales_orders: DataFrame, hot_orders: Dat
     ``hot_orders`` lists orders with very many shipments (``skew.hot_keys`` on order_id).
     """
     order = sales_orders.select(
-        F.col("order_number").alias("order_id"), "order_sk", F.col("customer_sk").alias("ship_to_customer_sk"),
+        F.col("order_number").alias("_order"), "order_sk", F.col("customer_sk").alias("ship_to_customer_sk"),
         "order_date",
     )
-    joined = shipments.join(order, "order_id", "left").select(
+    keyed = shipments.withColumn("_order", skew.spread_key("order_id", "shipment_id"))
+    joined = keyed.join(order, "_order", "left").select(
+        "_order",
         surrogate_key("shipment_id").alias("shipment_sk"),
         F.col("shipment_id").alias("shipment_number"),
         "order_sk",
@@ -143,7 +151,7 @@ def fact_shipment(shipments: DataFrame, sales_orders: DataFrame, hot_orders: Dat
     placed = place_in_order(joined, hot_orders)
     delivered = F.col("delivery_date").isNotNull()
     return placed.select(
-        *joined.columns,
+        *joined.drop("_order").columns,
         date_id("order_date").alias("order_date_id"),
         date_id("ship_date").alias("ship_date_id"),
         date_id("delivery_date").alias("delivery_date_id"),
@@ -159,16 +167,16 @@ def fact_shipment(shipments: DataFrame, sales_orders: DataFrame, hot_orders: Dat
 
 
 def place_in_order(shipments: DataFrame, hot_orders: DataFrame | None = None) -> DataFrame:
-    """Shipments per order and each one's place by ship date, then number.
+    """Shipments per order (``_order``) and each one's place by ship date, then number.
 
-    A shipment without order is the only one of its kind: count 1, place 1. Hot orders
+    A shipment without order has an ``_order`` of its own: count 1, place 1. Hot orders
     are cut by ship date and the leading characters of the shipment number.
     """
     if hot_orders is not None:
-        hot_orders = hot_orders.withColumnRenamed("order_id", "sales_order_number")
+        hot_orders = hot_orders.withColumnRenamed("order_id", "_order")
     return skew.sequence_in_group(
         shipments,
-        "sales_order_number",
+        "_order",
         ["ship_date", "shipment_number"],
         [F.col("ship_date"), F.substring("shipment_number", 1, 12)],
         "shipment_count_on_order",

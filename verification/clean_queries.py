@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.functions import calendar as cal
 from cairnlake.functions.keys import date_id, surrogate_key
-from cairnlake.operators import clean, dedup
+from cairnlake.operators import clean, dedup, skew
 from cairnlake.plans import facts
 from cairnlake.plans.silver import customer_batches
 from cairnlake.sources.feeds import FEEDS, PRIORITY_NAMES, REGION_NAMES
@@ -171,7 +171,7 @@ def dup_groups(t: Tables) -> DataFrame:
 
 def _places(t: Tables) -> DataFrame:
     rows = t.silver("shipment").select(
-        F.col("shipment_id").alias("shipment_number"), F.col("order_id").alias("sales_order_number"), "ship_date"
+        F.col("shipment_id").alias("shipment_number"), skew.spread_key("order_id", "shipment_id").alias("_order"), "ship_date"
     )
     return facts.place_in_order(rows, t.hot_orders)
 
