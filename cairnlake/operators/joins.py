@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cairnlake.operators import skew
 from cairnlake.operators.scd2 import end_or_far_future
@@ -68,28 +68,31 @@ def as_of_version(
     tasks and the few versions of the key copied to each of them; ``hot`` may come from
     any cheaper count of the same key, as it steers distribution only. ``lookups`` are
     (table, columns) pairs unique on the same key; they are left joined on the same
-    partitioning, so ``df`` is shuffled once for all of them.
+    partitioning, so ``df`` is shuffled once for all of them. Rows without a (text) key
+    are spread by the first ``spread`` column.
     """
-    on = [key]
+    on = ["_key"]
     spread = list(spread or df.columns)
+    is_text = isinstance(df.schema[key].dataType, T.StringType)
+    df = df.withColumn("_key", skew.spread_key(key, spread[0]) if is_text else F.col(key))
     periods = versions.select(
-        key, F.col("valid_from").alias("_from"), end_or_far_future().alias("_until"), *values
+        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), end_or_far_future().alias("_until"), *values
     )
-    tables = [(table.select(key, *columns), columns) for table, columns in lookups]
+    tables = [table.select(F.col(key).alias("_key"), *columns) for table, columns in lookups]
     if hot is not None:
-        on = [key, "_salt"]
-        per_key = skew.salts(hot, key, hot_rows)
-        df = skew.salt_rows(df, key, per_key, spread)
-        periods = skew.replicate_rows(periods, key, per_key)
-        tables = [(skew.replicate_rows(table, key, per_key), columns) for table, columns in tables]
+        on = ["_key", "_salt"]
+        per_key = skew.salts(hot, key, hot_rows).withColumnRenamed(key, "_key")
+        df = skew.salt_rows(df, "_key", per_key, spread)
+        periods = skew.replicate_rows(periods, "_key", per_key)
+        tables = [skew.replicate_rows(table, "_key", per_key) for table in tables]
     date = F.to_date(F.col(f"d.{day}"))
     met = (date >= F.col("v._from")) & (date < F.col("v._until"))
     for k in on:
         met = met & (F.col(f"d.{k}") == F.col(f"v.{k}"))
     out = df.alias("d").join(periods.alias("v"), met, "left").select("d.*", *[f"v.{c}" for c in values])
-    for table, _ in tables:
+    for table in tables:
         out = out.join(table, on, "left")
-    return out.drop("_salt")
+    return out.drop("_key", "_salt")
 
 
 def rows_at_max(df: DataFrame, key: str, value: str) -> DataFrame:

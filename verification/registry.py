@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -106,7 +107,11 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _STORED:
             folder = self.path("warehouse")
-            tables = {name: warehouse.publish(self.silver(name), f"{folder}/silver/{name}") for name in BRONZE}
+            plans = {name: self.silver(name) for name in BRONZE}
+            # Silver tables do not depend on each other; several jobs share the executors.
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                written = pool.map(lambda name: warehouse.publish(plans[name], f"{folder}/silver/{name}"), plans)
+                tables = dict(zip(plans, written))
             _STORED[key] = tables, warehouse.build_gold(tables, f"{folder}/gold")
         return _STORED[key]
 
