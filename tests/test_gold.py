@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from cairnlake.functions import calendar as cal
 from cairnlake.functions.keys import row_hash, surrogate_key
-from cairnlake.operators import checks, clean
+from cairnlake.operators import checks, clean, skew
 from cairnlake.plans import facts, warehouse
 from tests.conftest import plan, rows
 from verification.registry import Tables
@@ -52,6 +52,19 @@ def test_surrogate_keys_resolve(tables):
     assert joined.filter(outside).isEmpty()
 
 
+def test_facts_are_the_same_when_keys_are_hot(tables):
+    silver, gold = tables.stored()
+    customers = skew.hot_keys(silver["sales_order"], "customer_id", 5)
+    orders = facts.fact_sales_order(
+        silver["sales_order"], silver["invoice"], silver["payment"], silver["exchange_rates"],
+        gold["dim_customer"], gold["dim_customer_account"], silver["channels"], hot_customers=customers, hot_rows=5,
+    )
+    assert customers.count() > 10 and rows(orders) == rows(gold["fact_sales_order"])
+    hot_orders = skew.hot_keys(silver["shipment"], "order_id", 2)
+    shipments = facts.fact_shipment(silver["shipment"], gold["fact_sales_order"], hot_orders)
+    assert hot_orders.count() > 10 and rows(shipments) == rows(gold["fact_shipment"])
+
+
 def test_unknown_product_keeps_revenue(tables):
     silver, gold = tables.stored()
     lost = gold["fact_sales_order_lines"].filter("product_sk = -1").count()

@@ -214,7 +214,7 @@ def _register(table: str) -> None:
     if table == "sales_order":
         extra, cut = ", nullif(first_source, 'none') AS order_source", "first_source"
     sql = replaced(f"s_{table}", _DATES.get(table, ()), _MONEY.get(table, ()), extra, cut)
-    query(sql, name=f"silver_{table}")(lambda t: t.silver(table))
+    query(sql, name=f"silver_{table.removeprefix('product_')}")(lambda t: t.silver(table))
 
 
 for _table in BRONZE:
