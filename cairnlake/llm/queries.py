@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from cairnlake.llm.language_id import op6_language_id
 from cairnlake.llm.packing import op3_packing
 from cairnlake.llm.token_counts import op1_token_counts
+from cairnlake.llm.toxicity import op5_toxicity
 from cairnlake.llm.url_filter import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
     "op9_url_filter": op9_url_filter,
 }
