@@ -29,6 +29,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A written table, marked for broadcast only if it has at most ``rows`` (narrow) rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def fold(column: str, folds: int):
     """crc32 of a number's decimal text modulo ``folds``; NULL for NULL."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

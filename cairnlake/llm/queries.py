@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairnlake.llm.decontamination import op8_decontamination
 from cairnlake.llm.language_id import op6_language_id
 from cairnlake.llm.packing import op3_packing
+from cairnlake.llm.pseudonyms import op7_pii
 from cairnlake.llm.token_counts import op1_token_counts
 from cairnlake.llm.toxicity import op5_toxicity
 from cairnlake.llm.url_filter import op9_url_filter
@@ -17,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
+    "op7_pii": op7_pii,
+    "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
 }
 

@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnlake.llm.common import fold, pick, table
+from cairnlake.llm.words import split_words
 
 #: Words of a window, and by how much the next one starts later.
 WINDOW, STRIDE = 32, 16
@@ -18,8 +18,13 @@ WINDOW, STRIDE = 32, 16
 SLOTS, WIDTH, HIDDEN = 1 << 14, 8, 8
 #: At most so many training rows of a label, those with the smallest hash of their id.
 ROWS_PER_LABEL = 1200
-#: Of a training document at most so many windows take part in one round (scoring takes all).
+#: Rounds over the training documents with windows drawn at random, then with the highest ones;
+#: a small sample gets as many more rounds as these numbers of steps need.
 EPOCHS_ANY, EPOCHS_BEST = 3, 4
+LEAST_STEPS_ANY, LEAST_STEPS_BEST = 60, 30
+#: Windows a training document may contribute to a random round (scoring takes all).
+DRAWN = 5
+_BATCH = 256
 PREDICT_FROM = 0.3
 #: Windows that go through the network at once.
 _BLOCK = 4096
@@ -171,22 +176,6 @@ class Network:
             self.p[k] = self.p[k] - np.float32(rate) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-7)
 
 
-def split(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct lower-cased words, the word numbers of all texts end to end, and words per text."""
-    lowered = pc.ascii_lower(pa.array([(t or "").translate(_BLANKS) for t in texts], pa.large_string()))
-    parts = pc.split_pattern(lowered, " ")
-    flat = parts.values
-    sizes = np.diff(parts.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    return words, coded.indices.to_numpy().astype(np.int64), np.bincount(owner[real], minlength=len(texts))
-
-
-_BLANKS = str.maketrans({c: " " for c in "\t\n\r\x0b\x0c"})
-
-
 def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start (in the words of all texts), length and text of every window.
 
@@ -233,7 +222,7 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 11) ->
         return None
     rng = np.random.default_rng(seed)
     net = Network.fresh(seed)
-    words, codes, sizes = split(texts)
+    words, codes, sizes = split_words(texts)
     start, length, text = windows(sizes)
     docs = np.flatnonzero(np.bincount(text, minlength=len(texts)))
     first = np.searchsorted(text, docs)
@@ -241,19 +230,21 @@ def train(texts: list[str], labels: list[int], share: float, seed: int = 11) ->
 
     def epoch(chosen: np.ndarray, rate: float) -> None:
         rng.shuffle(chosen)
-        for at in range(0, len(chosen), 256):
-            some = chosen[at : at + 256]
+        for at in range(0, len(chosen), _BATCH):
+            some = chosen[at : at + _BATCH]
             index, mask = window_index(codes, start[some], length[some])
             used, index = np.unique(index, return_inverse=True)
             net.learn([words[u] for u in used], index.reshape(mask.shape), mask, y[text[some]].astype(np.float32), rate)
 
-    for _ in range(EPOCHS_ANY):
-        some = [first[i] + rng.choice(counts[i], min(5, counts[i]), replace=False) for i in range(len(docs))]
+    steps = -(-int(np.minimum(counts, DRAWN).sum()) // _BATCH)
+    for _ in range(max(EPOCHS_ANY, -(-LEAST_STEPS_ANY // steps))):
+        some = [first[i] + rng.choice(counts[i], min(DRAWN, counts[i]), replace=False) for i in range(len(docs))]
         epoch(np.concatenate(some), 0.01)
-    for k in range(EPOCHS_BEST):
+    rounds = max(EPOCHS_BEST, -(-LEAST_STEPS_BEST // max(1, len(docs) // _BATCH)))
+    for k in range(rounds):
         z = logits(net, words, codes, start, length)
         best = [first[i] + np.argsort(-z[first[i] : first[i] + counts[i]], kind="stable")[: 2 if y[text[first[i]]] == 0 else 1] for i in range(len(docs))]
-        epoch(np.concatenate(best), 0.01 / (1 + k))
+        epoch(np.concatenate(best), 0.01 / (1 + 3 * k / rounds))
     sampled = float(np.mean(y))
     net.shift = float(np.log(share / (1 - share)) - np.log(sampled / (1 - sampled)))
     net.moments = {}
@@ -303,7 +294,7 @@ def score_toxicity(df: DataFrame, id_column: str, text_column: str, net: Network
             texts = batch.column("text").to_pylist()
             scores, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             if net is not None:
-                words, codes, sizes = split(texts)
+                words, codes, sizes = split_words(texts)
                 start, length, text = windows(sizes)
                 count = np.bincount(text, minlength=len(texts))
                 some = np.flatnonzero(count)
