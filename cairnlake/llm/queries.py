@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairnlake.llm.decontamination import op8_decontamination
 from cairnlake.llm.language_id import op6_language_id
+from cairnlake.llm.markov_model import op2_markov_score
 from cairnlake.llm.packing import op3_packing
 from cairnlake.llm.pseudonyms import op7_pii
 from cairnlake.llm.token_counts import op1_token_counts
@@ -16,6 +17,7 @@ from cairnlake.llm.url_filter import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_markov_score": op2_markov_score,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
