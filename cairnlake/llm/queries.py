@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cairnlake.llm.decontamination import op8_decontamination
 from cairnlake.llm.language_id import op6_language_id
 from cairnlake.llm.markov_model import op2_markov_score
+from cairnlake.llm.minhash import OP4_SQL, op4_minhash
 from cairnlake.llm.packing import op3_packing
 from cairnlake.llm.pseudonyms import op7_pii
 from cairnlake.llm.token_counts import op1_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_markov_score": op2_markov_score,
     "op3_packing": op3_packing,
+    "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
     "op7_pii": op7_pii,
@@ -26,4 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_minhash": OP4_SQL,
+}
