@@ -15,6 +15,7 @@ from cairnlake.llm.pseudonyms import op7_pii
 from cairnlake.llm.token_counts import op1_token_counts
 from cairnlake.llm.toxicity import op5_toxicity
 from cairnlake.llm.url_filter import op9_url_filter
+from cairnlake.llm.vector_links import OP10_SQL, op10_vector_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
@@ -26,8 +27,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
+    "op10_vector_links": op10_vector_links,
 }
 
 ORACLES: dict[str, str] = {
     "op4_minhash": OP4_SQL,
+    "op10_vector_links": OP10_SQL,
 }
