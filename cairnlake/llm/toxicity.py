@@ -26,6 +26,8 @@ LEAST_STEPS_ANY, LEAST_STEPS_BEST = 60, 30
 DRAWN = 5
 _BATCH = 256
 PREDICT_FROM = 0.3
+#: A filter rejects from here on.
+REJECT_FROM = 0.5
 #: Windows that go through the network at once.
 _BLOCK = 4096
 
@@ -277,6 +279,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     return train(sample["text"].fillna("").tolist(), sample["toxic"].astype(int).tolist(), totals[1] / (totals[0] + totals[1]))
 
 
+def text_scores(net: Network | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Score and number of windows of each text."""
+    scores, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    if net is not None:
+        words, codes, sizes = split_words(texts)
+        start, length, text = windows(sizes)
+        count = np.bincount(text, minlength=len(texts))
+        some = np.flatnonzero(count)
+        if len(some):
+            best = np.maximum.reduceat(logits(net, words, codes, start, length), np.searchsorted(text, some))
+            scores[some] = np.round(_sigmoid(best.astype(np.float64) + net.shift), 5)
+    return scores, count
+
+
 def score_toxicity(df: DataFrame, id_column: str, text_column: str, net: Network | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The toxicity of every whole text: its highest window's.
 
@@ -291,16 +307,7 @@ def score_toxicity(df: DataFrame, id_column: str, text_column: str, net: Network
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            scores, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            if net is not None:
-                words, codes, sizes = split_words(texts)
-                start, length, text = windows(sizes)
-                count = np.bincount(text, minlength=len(texts))
-                some = np.flatnonzero(count)
-                if len(some):
-                    best = np.maximum.reduceat(logits(net, words, codes, start, length), np.searchsorted(text, some))
-                    scores[some] = np.round(_sigmoid(best.astype(np.float64) + net.shift), 5)
+            scores, count = text_scores(net, batch.column("text").to_pylist())
             columns = {"id": batch.column("id")} | {f"kept_{k}": batch.column(f"kept_{k}") for k in keep}
             columns |= {"score": pa.array(scores), "predicted": pa.array((scores >= PREDICT_FROM).astype(np.int32)), "n_windows": pa.array(count)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -309,12 +316,27 @@ def score_toxicity(df: DataFrame, id_column: str, text_column: str, net: Network
     return out.withColumnsRenamed({"id": id_column} | {f"kept_{k}": k for k in keep})
 
 
-def fit_on_tables(spark: SparkSession, sf_dir: str) -> Network | None:
-    docs = pick(table(spark, sf_dir, "documents"), id="doc_id", text="text").filter(fold("id", 4) != 2)
+def without_toxic(df: DataFrame, text_column: str, net: Network | None, least: float = REJECT_FROM) -> DataFrame:
+    """``df`` without the rows whose text scores ``least`` or more; all its columns stay, no row is shuffled."""
+    at = df.columns.index(text_column)
+    named = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores, _ = text_scores(net, batch.column(at).to_pylist())
+            yield batch.filter(pa.array(scores < least))
+
+    return named.mapInArrow(run, named.schema).toDF(*df.columns)
+
+
+def fit_on_tables(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Network | None:
+    """Learns from the labels of rows outside the held-out fold."""
+    docs = pick(docs, id="doc_id", text="text").filter(fold("id", 4) != 2)
     labels = pick(table(spark, sf_dir, "labels"), id="doc_id", toxic="toxic").filter(fold("id", 4) != 2)
     return fit(docs, labels)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = score_toxicity(table(spark, sf_dir, "documents"), "doc_id", "text", fit_on_tables(spark, sf_dir))
+    documents = table(spark, sf_dir, "documents")
+    found = score_toxicity(documents, "doc_id", "text", fit_on_tables(spark, documents, sf_dir))
     return found.select("doc_id", (F.coalesce(fold("doc_id", 4), F.lit(0)) == 2).alias("held_out"), "score", "predicted", "n_windows")
