@@ -123,12 +123,25 @@ def ssn(text: str, key: bytes, back: bool = False) -> str | None:
     return f"{area:03d}{text[3]}{group + 1:02d}{text[6]}{serial + 1:04d}"
 
 
+#: Octets by their number of digits: least value and how many there are.
+_OCTETS = {1: (0, 10), 2: (10, 90), 3: (100, 156)}
+
+
 def ipv4(text: str, key: bytes, back: bool = False) -> str | None:
+    """Each octet keeps its number of digits."""
     parts = text.split(".")
     if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts):
         return None
-    number = permute(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, key, "ipv4", back)
-    return ".".join(map(str, number.to_bytes(4, "big")))
+    shape = [_OCTETS[len(p)] for p in parts]
+    number, size = 0, 1
+    for part, (least, count) in zip(parts, shape):
+        number, size = number * count + int(part) - least, size * count
+    number = permute(number, size, key, "ipv4" + "".join(str(len(p)) for p in parts), back)
+    out = []
+    for least, count in reversed(shape):
+        number, place = divmod(number, count)
+        out.append(str(least + place))
+    return ".".join(reversed(out))
 
 
 def _day(year: str, month: str, day: str, key: bytes, back: bool) -> date | None:
