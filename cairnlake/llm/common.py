@@ -39,6 +39,16 @@ def fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+def texts_of(rows: DataFrame, picked: DataFrame) -> DataFrame:
+    """The rows (``id``, ``text``, ...) that ``picked`` names by ``h`` and ``k``, the hashes of id and text; one of each.
+
+    picked: a sample whose size is bounded by a parameter, chosen without touching any text;
+    texts travel only for what it holds.
+    """
+    keyed = rows.withColumns({"h": F.xxhash64("id"), "k": F.xxhash64("text")})
+    return keyed.join(F.broadcast(picked.select("h", "k")), ["h", "k"]).dropDuplicates(["h", "k"])
+
+
 def components(nodes: DataFrame, edges: DataFrame, label: str) -> DataFrame:
     """The smallest node id reachable from each node.
 
