@@ -1,6 +1,7 @@
 """Upserts expressed as joins that return the new state of a table.
 
-A source must hold one row per merge key (``ambiguous_keys`` finds offenders).
+A source must hold one row per merge key: a merge fails where it does not, unless
+``unique=True`` says that the caller has just deduplicated it.
 A NULL merge key matches nothing unless asked to, so such rows are set aside
 before the join instead of piling up in the one partition NULL hashes to.
 """
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cairnlake.operators.dedup import latest_per_key, total_order
 
@@ -38,12 +39,25 @@ def ambiguous_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def require_unambiguous(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raise when two source rows would match one target row, as a merge must."""
-    offender = ambiguous_keys(source, keys).take(1)
-    if offender:
-        raise ValueError(f"several source rows share merge key {offender[0].asDict()}")
-    return source
+def require_unambiguous(source: DataFrame, keys: Sequence[str], null_keys: bool = True) -> DataFrame:
+    """``source`` as it is, but the job fails when two rows would match one target row, as a merge must.
+
+    The count is a window over the merge key, whose partitioning the join then uses, so
+    it costs a sort and no shuffle or job of its own. Rows with a NULL key match nothing and
+    may repeat; each is put in a group of its own. ``null_keys=False`` promises there are none.
+    """
+    parts = [F.col(k) for k in keys]
+    if null_keys:
+        # Random, so that many rows with NULL keys do not meet in one task.
+        parts.append(F.when(_any_null(keys), F.rand(7)))
+    alone = F.count(F.lit(1)).over(Window.partitionBy(*parts)) == 1
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    told = F.raise_error(F.concat(F.lit("several source rows share merge key "), shown)).cast("boolean")
+    checked = source.withColumn("_alone", alone)
+    fails = ~F.col("_alone")
+    if null_keys:
+        fails = fails & ~_any_null(keys)
+    return checked.filter(F.when(fails, told).otherwise(F.lit(True))).drop("_alone")
 
 
 def upsert(
@@ -53,27 +67,36 @@ def upsert(
     update: Sequence[str],
     guard: str | None = None,
     null_keys: str = "insert",
+    unique: bool = False,
 ) -> DataFrame:
     """Update the listed columns of matched rows, insert the others whole.
 
     ``guard`` names a column that must not go backwards: a matched row whose source
     value is lower than the target's (or unknown) stays as it is.
     ``null_keys``: "insert" adds such source rows every time, "match" treats NULL as
-    equal to NULL, "absent" promises there are none and saves the extra pass.
+    equal to NULL, "absent" promises there are none. One pass over either side serves
+    all three: rows with a NULL key meet nothing and are spread over all tasks.
     """
     if null_keys not in ("insert", "match", "absent"):
         raise ValueError(f"unknown null_keys {null_keys!r}")
     columns = target.columns
     updated = set(update) | ({"updated_timestamp"} & set(columns))
-    t, s = target, source
-    if null_keys == "insert":
-        t, s = t.filter(~_any_null(keys)), s.filter(~_any_null(keys))
-    t = t.withColumn("_in_target", F.lit(True)).alias("t")
-    s = s.withColumn("_in_source", F.lit(True)).alias("s")
+    if not unique and null_keys != "match":
+        source = require_unambiguous(source, keys, null_keys == "insert")
+    elif not unique:
+        source = require_unambiguous(source, keys, null_keys=False)
+    t = target.withColumn("_in_target", F.lit(True))
+    s = source.withColumn("_in_source", F.lit(True))
     same = [
         F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) if null_keys == "match" else F.col(f"t.{k}") == F.col(f"s.{k}")
         for k in keys
     ]
+    if null_keys == "insert":
+        # A row with a NULL key gets a place of its own, else all would hash to one partition.
+        t = t.withColumn("_apart", F.when(_any_null(keys), F.rand(1)).otherwise(F.lit(0.0)))
+        s = s.withColumn("_apart", F.when(_any_null(keys), F.rand(2) + 1).otherwise(F.lit(0.0)))
+        same.append(F.col("t._apart") == F.col("s._apart"))
+    t, s = t.alias("t"), s.alias("s")
     is_new = F.col("_in_target").isNull()
     replaces = F.col("_in_source").isNotNull()
     if guard is not None:
@@ -87,13 +110,7 @@ def upsert(
         taken = (is_new | replaces) if name in updated else is_new
         return F.when(taken, new).otherwise(old).alias(name)
 
-    state = t.join(s, reduce(lambda a, b: a & b, same), "full_outer").select(*[merged(c) for c in columns])
-    if null_keys == "insert":
-        state = state.unionByName(target.filter(_any_null(keys))).unionByName(
-            source.filter(_any_null(keys)).select(*[c for c in columns if c in source.columns]),
-            allowMissingColumns=True,
-        )
-    return state
+    return t.join(s, reduce(lambda a, b: a & b, same), "full_outer").select(*[merged(c) for c in columns])
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
@@ -107,9 +124,15 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str], null_s
 
 
 def update_matched(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str], when: Column | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    when: Column | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Change matched target rows for which ``when`` (over target columns) holds; insert nothing."""
+    source = source if unique else require_unambiguous(source, keys)
     s = source.select(*keys, F.struct(*update).alias("_new"))
     hit = F.col("_new").isNotNull() if when is None else F.col("_new").isNotNull() & F.coalesce(when, F.lit(False))
     changed = {c: F.when(hit, F.col("_new")[c]).otherwise(F.col(c)) for c in update}
@@ -157,6 +180,10 @@ def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame |
         raise
 
 
+#: Partition values that may become a static filter; beyond them the filter is a join.
+STATIC_PARTITIONS = 10_000
+
+
 def upsert_table(
     path: str,
     source: DataFrame,
@@ -166,30 +193,87 @@ def upsert_table(
     guard: str | None = None,
     at: Column | None = None,
     null_keys: str = "insert",
+    unique: bool = False,
 ) -> None:
     """Create a stored table from ``source`` or upsert into it, with audit columns.
 
-    ``partition`` must never change for a key. Only the partitions the source names are
-    read, joined and rewritten (the few values are fetched to become a static partition
-    filter), so a monthly batch does not rewrite the whole history; dynamic overwrite
-    swaps them when the job commits. The source is one batch and used twice, so it is
-    kept (memory, then disk) for the length of the call.
+    Only the partitions that the source names, or in which its keys stand by now, are read
+    whole and rewritten (NULL is a partition like any other, and an empty text is stored as
+    NULL), so a monthly batch does not rewrite the whole history; of the others only the key
+    columns are read. Dynamic overwrite swaps them when the job commits. A row whose partition
+    value changes moves; its old partition is rewritten without it. Should a run
+    end between the two, the next one finds the key twice and keeps the row updated last.
+
+    The source is one batch and used several times, so it is kept (memory, then disk) for
+    the length of the call.
     """
-    source = with_audit(source, at).persist()
+    as_stored = F.when(F.col(partition).cast("string") != "", F.col(partition))
+    source = with_audit(source.withColumn(partition, as_stored), at).persist()
     try:
         target = stored(source.sparkSession, path, source.schema)
         if target is None:
-            state = source
+            checked = source if unique else require_unambiguous(source, keys)
+            overwrite_partitions(checked.hint("rebalance", partition), path, partition)
+            return
+        present = source.select(F.col(partition).alias("value"), F.lit(False).alias("left"))
+        if partition not in keys:
+            mine = source.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(partition).alias("_to"))
+            same = [target[k].eqNullSafe(F.col(f"_{k}")) if null_keys == "match" else target[k] == F.col(f"_{k}") for k in keys]
+            met = target.join(mine, reduce(lambda a, b: a & b, same))
+            present = present.union(met.select(partition, ~F.col(partition).eqNullSafe(F.col("_to"))))
+        values = present.groupBy("value").agg(F.max("left").alias("left")).limit(STATIC_PARTITIONS + 1).collect()
+        touched = [r.value for r in values]
+        if len(touched) <= STATIC_PARTITIONS:
+            named = F.col(partition).isin([v for v in touched if v is not None])
+            affected = target.filter(named | F.col(partition).isNull() if None in touched else named)
         else:
-            touched = [r[0] for r in source.select(partition).distinct().collect()]
-            affected = target.filter(F.col(partition).isin(touched))
-            state = upsert(affected, source, [*keys, partition], update, guard, null_keys)
-        overwrite_partitions(state.hint("rebalance", partition), path, partition)
+            some = present.select(F.col("value").alias("_some")).distinct()
+            affected = target.join(some, target[partition].eqNullSafe(F.col("_some")), "left_semi")
+        if partition not in keys:
+            affected = _last_updated(affected, keys)
+        changed = list(update) if partition in keys else [*update, partition]
+        state = upsert(affected, source, keys, changed, guard, null_keys, unique)
+        # With more partitions than are fetched, any of them may have lost its rows.
+        few = len(touched) <= STATIC_PARTITIONS
+        left = [r.value for r in values if r.left] if few else [r.value for r in present.filter("left").select("value").distinct().collect()]
+        replace_partitions(state.hint("rebalance", partition), path, partition, left)
     finally:
         source.unpersist()
 
 
+def _last_updated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the one updated last; rows with a NULL key all stay."""
+    apart = F.when(_any_null(keys), F.rand(3))
+    w = Window.partitionBy(*keys, apart).orderBy(F.col("updated_timestamp").desc_nulls_last(), *total_order(df, skip=keys))
+    placed = df.withColumn("_place", F.row_number().over(w))
+    return placed.filter((F.col("_place") == 1) | _any_null(keys)).drop("_place")
+
+
 def overwrite_partitions(df: DataFrame, path: str, *partition: str) -> None:
     """Replace exactly the partitions ``df`` has rows for; they are swapped when the job commits."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition).parquet(path)
+
+
+def _partition_folder(partition: str, value) -> str:
+    """The folder name of a partition value, with the characters escaped that file systems reserve."""
+    if value is None:
+        return f"{partition}=__HIVE_DEFAULT_PARTITION__"
+    escaped = "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in str(value))
+    return f"{partition}={escaped}"
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, left: Sequence) -> None:
+    """``overwrite_partitions``, and partitions in ``left`` that ``df`` has no row for become empty.
+
+    An overwrite leaves alone what it has no rows for. So these are written once more, as a
+    file without rows, after the rows have reached their new place. ``left`` names the few
+    partitions that rows have left.
+    """
+    if left:
+        staying = {r[0] for r in df.select(partition).distinct().collect()}
+        left = [v for v in left if v not in staying]
+    bare = df.sparkSession.createDataFrame([], df.drop(partition).schema)
+    overwrite_partitions(df, path, partition)
+    for value in left:
+        bare.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_partition_folder(partition, value)}")

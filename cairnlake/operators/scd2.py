@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnlake.functions.keys import row_hash
-from cairnlake.operators.merge import overwrite_partitions, stored
+from cairnlake.operators.merge import replace_partitions, require_unambiguous, stored
 
 VERSION_COLUMNS = ("row_hash", "valid_from", "valid_to", "is_current")
 # Fixed value: the end date a version without one is compared with.
@@ -75,46 +75,53 @@ def merge_versions(
     New key: first version. Same hash: untracked columns are overwritten in place.
     Other hash: the open version is closed and a new one opened. A source row that
     takes effect before the open version started is ignored; one that takes effect on
-    the same day (a batch run again) overwrites the version in place. Closed
-    versions and keys the batch does not mention stay as they are.
+    the same day (a batch delivered again) replaces that version, and if it brings back
+    the values of the version before, that one is open again. Other closed versions
+    and keys the batch does not mention stay as they are.
     """
-    rest = target.filter("NOT is_current")
-    return rest.unionByName(touched_versions(target, source, key, tracked, effective_from).select(*target.columns))
+    return touched_versions(target, source, key, tracked, effective_from).select(*target.columns)
 
 
 def touched_versions(
     target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], effective_from: Column | None = None
 ) -> DataFrame:
-    """What one batch makes of the open versions: those kept, overwritten, closed and opened."""
+    """The given versions after one batch. Versions closed on another day than the batch's may be left out.
+
+    A key met twice in the source fails the job.
+    """
     start = batch_start() if effective_from is None else effective_from
     payload = [c for c in source.columns if c != key]
-    src = open_versions(source, tracked, start)
-    s = src.filter(F.col(key).isNotNull()).select(key, F.struct(*payload, *VERSION_COLUMNS).alias("_new"))
-    current = target.filter("is_current").select(key, F.struct(*payload, *VERSION_COLUMNS).alias("_old"))
-    both = current.join(s, key, "full_outer")
-
-    old, new = F.col("_old"), F.col("_new")
-    late = new["valid_from"] < old["valid_from"]
-    in_place = (new["row_hash"] == old["row_hash"]) | (new["valid_from"] == old["valid_from"])
-    overwritten = F.struct(
-        *[new[c].alias(c) for c in payload],
-        new["row_hash"].alias("row_hash"),
-        old["valid_from"].alias("valid_from"),
-        old["valid_to"].alias("valid_to"),
-        old["is_current"].alias("is_current"),
-    )
-    closed = F.struct(
-        *[old[c].alias(c) for c in payload],
-        old["row_hash"].alias("row_hash"),
-        old["valid_from"].alias("valid_from"),
-        new["valid_from"].alias("valid_to"),
-        F.lit(False).alias("is_current"),
-    )
+    src = open_versions(require_unambiguous(source.filter(F.col(key).isNotNull()), [key]), tracked, start)
+    s = src.select(key, F.struct(*payload, *VERSION_COLUMNS).alias("_new"))
+    both = target.select(key, F.struct(*payload, *VERSION_COLUMNS).alias("_old")).join(s, key, "full_outer")
+
+    # All versions of a key meet, of which there is one per batch at most.
+    old, new, of_key = F.col("_old"), F.col("_new"), Window.partitionBy(key)
+    both = both.withColumn("_open", F.max(F.when(old["is_current"], old["valid_from"])).over(of_key))
+    late, again = new["valid_from"] < F.col("_open"), new["valid_from"] == F.col("_open")
+    # The version before the open one, where the batch's values are its values.
+    returns = again & ~old["is_current"] & (old["valid_to"] == F.col("_open")) & (old["row_hash"] == new["row_hash"])
+    both = both.withColumn("_returns", F.coalesce(returns, F.lit(False)))
+    both = both.withColumn("_returned", F.max("_returns").over(of_key))
+
+    def version(row: Column, since: Column, until: Column, is_current: bool) -> Column:
+        return F.struct(
+            *[row[c].alias(c) for c in payload],
+            row["row_hash"].alias("row_hash"),
+            since.alias("valid_from"),
+            until.alias("valid_to"),
+            F.lit(is_current).alias("is_current"),
+        )
+
+    in_place = version(new, old["valid_from"], F.lit(None).cast("date"), True)
     outcome = (
         F.when(old.isNull(), F.array(new))
         .when(new.isNull() | late, F.array(old))
-        .when(in_place, F.array(overwritten))
-        .otherwise(F.array(closed, new))
+        .when(F.col("_returns"), F.array(in_place))
+        .when(~old["is_current"], F.array(old))
+        .when(F.col("_returned"), F.array().cast(f"array<{both.schema['_old'].dataType.simpleString()}>"))
+        .when((new["row_hash"] == old["row_hash"]) | again, F.array(in_place))
+        .otherwise(F.array(version(old, old["valid_from"], new["valid_from"], False), new))
     )
     return both.select(key, F.explode(outcome).alias("_row")).select(key, "_row.*")
 
@@ -129,17 +136,24 @@ def merge_stored(
 ) -> None:
     """Apply one batch to a stored version table.
 
-    Only the partition of open versions is read. One dynamic overwrite replaces it and
-    adds the partition of versions closed on this date, so a batch costs as much as the
-    current customers, not as their history, and running it again adds nothing.
+    Only the open versions and those closed on a day the batch takes effect on are read. One
+    dynamic overwrite replaces these partitions, so a batch costs as much as the current
+    customers, not as their history; a batch delivered again, changed or not, leaves the
+    versions that applying only its last delivery would have left (untracked values that the
+    earlier delivery overwrote in a version now closed are not brought back). The effective
+    days are few: one for each month a delivery holds.
     """
     start = batch_start() if effective_from is None else effective_from
     target = stored(source.sparkSession, path, open_versions(source, tracked, start).schema)
     if target is None:
-        store_history(open_versions(source, tracked, start), path)
+        store_history(open_versions(require_unambiguous(source, [key]), tracked, start), path)
         return
-    state = touched_versions(target.filter("valid_to IS NULL"), source, key, tracked, effective_from)
-    overwrite_partitions(state.hint("rebalance", "valid_to"), path, "valid_to")
+    days = [r[0] for r in source.select(start.alias("day")).distinct().collect() if r[0] is not None]
+    affected = target.filter(F.col("valid_to").isNull() | F.col("valid_to").isin(days))
+    state = touched_versions(affected, source, key, tracked, effective_from)
+    # Only a repeated delivery finds versions closed on its day, and may open the last of them again.
+    closed = [r[0] for r in affected.filter("valid_to IS NOT NULL").select("valid_to").distinct().collect()]
+    replace_partitions(state.hint("rebalance", "valid_to"), path, "valid_to", closed)
 
 
 def current_versions(versions: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cairnlake.session import work_path
+
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 5_000_000
 
@@ -72,17 +74,19 @@ def sequence_in_group(
     df: DataFrame,
     group: str,
     order: Sequence[str],
-    cell: Sequence[Column],
     count_as: str,
     sequence_as: str,
     hot: DataFrame | None = None,
+    cell_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the size of each row's group and the row's place in it.
 
     ``order`` must be unique inside a group (NULLs first) and ``group`` must be set
-    (see ``spread_key``). Ordinary groups use one window. The groups listed in ``hot``
-    are cut into cells that grow with ``order``: rows are ranked inside their cell and
-    shifted by the number of rows in earlier cells, so no task sees a whole hot group.
+    (see ``spread_key``). Ordinary groups use one window. The rows of the groups listed in
+    ``hot`` are range-partitioned by group and order into cells of about ``cell_rows`` rows,
+    whatever their values look like, and written, as cells must not change between
+    their two uses; rows are ranked inside their cell and shifted by the number of rows in
+    earlier cells, so no task sees a whole hot group.
     """
     w = Window.partitionBy(group)
 
@@ -96,11 +100,14 @@ def sequence_in_group(
 
     if hot is None:
         return by_window(df)
-    hot = F.broadcast(hot.select(group, F.col("n_rows").alias(count_as)))
-    ordinary = by_window(df.join(hot, group, "left_anti"))
-    heavy = df.join(hot.select(group), group).withColumn(
-        "_cell", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cell)])
-    )
+    cells_needed = hot.agg(F.ceil(F.sum("n_rows") / F.lit(cell_rows))).first()[0]
+    names = F.broadcast(hot.select(group))
+    ordinary = by_window(df.join(names, group, "left_anti"))
+    ranges = df.join(names, group).repartitionByRange(max(2, int(cells_needed)), group, *order)
+    path = work_path(df.sparkSession, "hot-groups")
+    placed = ranges.withColumn("_cell", F.spark_partition_id())
+    placed.write.parquet(path)
+    heavy = df.sparkSession.read.schema(placed.schema).parquet(path)
     cells = heavy.groupBy(group, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     shifts = cells.select(

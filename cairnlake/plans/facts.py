@@ -166,11 +166,12 @@ def fact_shipment(shipments: DataFrame, sales_orders: DataFrame, hot_orders: Dat
     )
 
 
-def place_in_order(shipments: DataFrame, hot_orders: DataFrame | None = None) -> DataFrame:
+def place_in_order(
+    shipments: DataFrame, hot_orders: DataFrame | None = None, cell_rows: int = skew.HOT_ROWS
+) -> DataFrame:
     """Shipments per order (``_order``) and each one's place by ship date, then number.
 
-    A shipment without order has an ``_order`` of its own: count 1, place 1. Hot orders
-    are cut by ship date and the leading characters of the shipment number.
+    A shipment without order has an ``_order`` of its own: count 1, place 1.
     """
     if hot_orders is not None:
         hot_orders = hot_orders.withColumnRenamed("order_id", "_order")
@@ -178,10 +179,10 @@ def place_in_order(shipments: DataFrame, hot_orders: DataFrame | None = None) ->
         shipments,
         "_order",
         ["ship_date", "shipment_number"],
-        [F.col("ship_date"), F.substring("shipment_number", 1, 12)],
         "shipment_count_on_order",
         "shipment_sequence",
         hot=hot_orders,
+        cell_rows=cell_rows,
     )
 
 

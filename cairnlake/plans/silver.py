@@ -33,11 +33,7 @@ def _renamed(df: DataFrame, feed: Feed) -> DataFrame:
     return df.select(*out)
 
 
-def _flagged(df: DataFrame, feed: Feed, delivered: DataFrame) -> DataFrame:
-    if feed.repeat_flag:
-        df = dedup.flag_repeated(
-            df, feed.repeat_group, feed.key[0], feed.repeat_flag, present="product_sku", among=delivered
-        )
+def _flagged(df: DataFrame, feed: Feed) -> DataFrame:
     return df.withColumns({name: make() for name, make in feed.flags.items()}) if feed.flags else df
 
 
@@ -62,10 +58,13 @@ def conform(bronze: DataFrame, feed: Feed | str) -> DataFrame:
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     df = prepared(bronze, feed)
+    if feed.repeat_flag:
+        # Twins are looked for inside one batch, so the flag does not depend on how many are loaded at once.
+        df = dedup.flag_repeated(df, [*feed.repeat_group, "batch_id"], feed.key[0], feed.repeat_flag, present="product_sku")
     latest = merge.fold_batches(
         df, feed.key, _recency(df), feed.keep_first, null_keys=not set(feed.key) <= set(feed.required)
     )
-    return _flagged(latest.drop("_loaded_at"), feed, df)
+    return _flagged(latest.drop("_loaded_at"), feed)
 
 
 def customer_batches(bronze: DataFrame, feed: Feed | str = "cust_master") -> DataFrame:
@@ -96,7 +95,9 @@ def load_batch(target: DataFrame | None, batch: DataFrame, feed: Feed | str) ->
         return source
     # Keys in the required list were checked above, so no row can lack one.
     null_keys = "absent" if set(feed.key) <= set(feed.required) else "insert"
-    return merge.upsert(target, source, feed.key, feed.update_columns(source.columns), "batch_id", null_keys)
+    return merge.upsert(
+        target, source, feed.key, feed.update_columns(source.columns), "batch_id", null_keys, unique=True
+    )
 
 
 def silver(bronze: DataFrame, name: str) -> DataFrame:

@@ -73,11 +73,11 @@ def test_audit_columns(spark):
     assert rows(out, "k", "created_timestamp", "updated_timestamp") == [("a", "t1", "t2"), ("b", "t2", "t2")]
 
 
-def test_two_source_rows_for_one_key_fail(spark):
+def test_ambiguous_keys(spark):
     source = state(spark, ("a", 1, 1, "2024-01"), ("a", 2, 2, "2024-01"), (None, 3, 3, "2024-01"), (None, 4, 4, "2024-01"))
     assert rows(merge.ambiguous_keys(source, ["k"])) == [("a", 2)]
-    with pytest.raises(ValueError, match="share merge key"):
-        merge.require_unambiguous(source, ["k"])
+    with pytest.raises(Exception, match="share merge key"):
+        merge.require_unambiguous(source, ["k"]).collect()
 
 
 def test_insert_new_is_null_safe(spark):
@@ -135,3 +135,65 @@ def test_loading_batch_by_batch_equals_rebuild(spark):
     ]
     late = load_batch(load_batch(None, two, feed), one, feed)
     assert rows(late, "order_number", "order_status") == rows(whole, "order_number", "order_status")
+
+
+P_SCHEMA = "k string, part string, v int, batch_id string"
+
+
+def stored_after(spark, path, *batches, unique=False):
+    for data in batches:
+        merge.upsert_table(path, spark.createDataFrame(list(data), P_SCHEMA), ["k"], ["v", "batch_id"], "part", "batch_id", unique=unique)
+    return rows(merge.stored(spark, path, merge.with_audit(spark.createDataFrame([], P_SCHEMA)).schema), "k", "part", "v")
+
+
+def test_null_partition_keeps_its_rows(spark, tmp_path):
+    first = [("a", "x", 1, "2024-01"), ("b", None, 1, "2024-01"), ("c", None, 1, "2024-01"), ("d", "", 1, "2024-01")]
+    got = stored_after(spark, str(tmp_path / "t"), first, [("b", None, 2, "2024-02")])
+    assert got == [("a", "x", 1), ("b", None, 2), ("c", None, 1), ("d", None, 1)]
+
+
+def test_moved_key_is_not_doubled(spark, tmp_path):
+    first = [("a", "x", 1, "2024-01"), ("b", "y: 1/2", 1, "2024-01"), ("c", "z", 1, "2024-01")]
+    got = stored_after(spark, str(tmp_path / "t"), first, [("a", "z", 2, "2024-02"), ("b", None, 2, "2024-02")], [("c", "x", 0, "2023-12"), ("b", "x", 3, "2024-03")])
+    # c is older than what is stored and stays where it is.
+    assert got == [("a", "z", 2), ("b", "x", 3), ("c", "z", 1)]
+
+
+def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
+    path = tmp_path / "t"
+    stored_after(spark, str(path), [("a", "x", 1, "2024-01"), ("b", "y", 1, "2024-01")])
+    before = sorted(p.name for p in (path / "part=y").iterdir())
+    stored_after(spark, str(path), [("a", "x", 2, "2024-02")])
+    assert sorted(p.name for p in (path / "part=y").iterdir()) == before
+
+
+@pytest.mark.parametrize("null_keys", ["insert", "match", "absent"])
+def test_two_source_rows_for_one_key_fail(spark, tmp_path, null_keys):
+    target, source = state(spark, ("a", 1, 1, "2024-01")), state(spark, ("a", 2, 2, "2024-02"), ("a", 3, 3, "2024-02"))
+    with pytest.raises(Exception, match="share merge key k=a"):
+        merge.upsert(target, source, ["k"], UPDATED, "batch_id", null_keys).collect()
+    with pytest.raises(Exception, match="share merge key"):
+        merge.update_matched(target, source, ["k"], ["v"]).collect()
+    twice = [("a", "x", 1, "2024-01"), ("a", "x", 2, "2024-01")]
+    with pytest.raises(Exception, match="share merge key"):
+        stored_after(spark, str(tmp_path / "t"), twice)
+    assert merge.upsert(target, source, ["k"], UPDATED, unique=True).count() == 2
+
+
+def test_rows_with_null_keys_may_repeat(spark):
+    source = state(spark, (None, 2, 2, "2024-02"), (None, 3, 3, "2024-02"))
+    assert merge.upsert(state(spark), source, ["k"], UPDATED).count() == 2
+
+
+def test_work_folder_must_be_shared(spark):
+    from cairnlake.session import work_path
+
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.master": "spark://cluster:7077"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_path(Session(), "x")

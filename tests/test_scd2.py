@@ -108,3 +108,46 @@ def test_stored_history_equals_set_based(spark, tmp_path):
         scd2.merge_stored(path, frame(spark, [d for d in data if d[-1] == month]), "id", TRACKED)
     whole = scd2.history(frame(spark, data), "id", TRACKED)
     assert rows(merge.stored(spark, path, whole.schema)) == rows(whole)
+
+
+def deliveries(seed):
+    """Months in order; the newest one may arrive several times, each time with other changes."""
+    rng = random.Random(seed)
+    for month in MONTHS:
+        for _ in range(rng.choice([1, 2, 3])):
+            yield [(k, rng.choice("AB"), "x", rng.choice("mn"), month) for k in "12345" if rng.random() < 0.8]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_redelivered_month_stored_stepwise_and_set_based(spark, tmp_path, seed):
+    path, latest, state = str(tmp_path / "versions"), {}, None
+    for data in deliveries(seed):
+        if not data:
+            continue
+        batch = frame(spark, data)
+        latest |= {(d[0], d[-1]): d for d in data}
+        scd2.merge_stored(path, batch, "id", TRACKED)
+        if state is None:
+            state = scd2.open_versions(batch, TRACKED, scd2.batch_start())
+        else:
+            state = spark.createDataFrame(scd2.merge_versions(state, batch, "id", TRACKED).collect(), state.schema)
+    whole = scd2.history(frame(spark, list(latest.values())), "id", TRACKED)
+    # A version closed by the correction may keep untracked values of the delivery it corrects.
+    compared = ["id", *TRACKED, *scd2.VERSION_COLUMNS]
+    assert rows(merge.stored(spark, path, whole.schema), *compared) == rows(whole, *compared)
+    assert rows(state, *compared) == rows(whole, *compared)
+
+
+def test_correction_keeps_versions_that_others_closed(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    for a, b, month in (("s1", "s1", "2024-01"), ("s2", "s1", "2024-02"), ("s2", "s2", "2024-02")):
+        scd2.merge_stored(path, frame(spark, [("A", a, "x", "m", month), ("B", b, "x", "m", month)]), "id", TRACKED)
+    schema = scd2.open_versions(frame(spark, [("A", "s1", "x", "m", "2024-01")]), TRACKED, scd2.batch_start()).schema
+    found = merge.stored(spark, path, schema)
+    assert rows(found.groupBy("id").count()) == [("A", 2), ("B", 2)]
+
+
+def test_key_twice_in_a_batch_fails(spark):
+    batch = frame(spark, [("1", "A", "x", "m", "2024-01"), ("1", "B", "x", "m", "2024-01")])
+    with pytest.raises(Exception, match="share merge key"):
+        scd2.merge_versions(scd2.history(batch.limit(0), "id", TRACKED), batch, "id", TRACKED).collect()

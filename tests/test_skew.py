@@ -1,5 +1,8 @@
 """Hot-key paths give the same rows as the plain ones, and skewed joins are split."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from cairnlake.operators import dedup, joins, skew
@@ -81,12 +84,27 @@ def test_sequence_in_hot_group_equals_window(spark):
     df = shipments(spark).withColumn("_order", skew.spread_key("sales_order_number", "shipment_number"))
     plain = facts.place_in_order(df)
     hot = skew.hot_keys(df, "_order", HOT)
-    split = facts.place_in_order(df, hot)
+    split = facts.place_in_order(df, hot, cell_rows=HOT)
     assert rows(plain) == rows(split.select(*plain.columns))
     alone = plain.filter("sales_order_number IS NULL").select("shipment_count_on_order", "shipment_sequence")
     assert rows(alone.distinct()) == [(1, 1)]
 
 
+@pytest.mark.parametrize("shape", ["SHP000000000001-%06d", "%d"])
+def test_hot_order_is_split_whatever_its_ids(spark, shape):
+    """One order, one ship date, ids with a long common prefix or short ones: no cell holds a large share."""
+    df = spark.range(20_000).select(
+        F.format_string(shape, F.col("id")).alias("shipment_number"), F.lit("HOT").alias("_order"), F.to_date(F.lit("2024-01-01")).alias("ship_date")
+    )
+    split = facts.place_in_order(df, skew.hot_keys(df, "_order", HOT), cell_rows=1000)
+    placed = split.select("shipment_number", "shipment_sequence", "shipment_count_on_order")
+    plain = facts.place_in_order(df).select(*placed.columns)
+    assert placed.exceptAll(plain).isEmpty() and placed.count() == 20_000
+    path = sorted(Path(spark.conf.get("spark.checkpoint.dir"), "cairnlake").glob("hot-groups-*"), key=lambda p: p.stat().st_mtime)[-1]
+    cells = spark.read.parquet(str(path)).groupBy("_cell").count().collect()
+    assert len(cells) == 20 and max(c["count"] for c in cells) < 3000
+
+
 def test_flag_repeated(spark):
     data = [("1", "o", "s", 1), ("2", "o", "s", 1), ("3", "o", None, 1), ("4", "o", None, 1), ("5", "p", "s", None), ("6", "p", "s", None)]
     df = spark.createDataFrame(data, "line string, o string, sku string, q int")

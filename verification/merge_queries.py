@@ -97,6 +97,31 @@ def upsert_stored(t: Tables) -> DataFrame:
     return merge.stored(t.spark, path, schema).drop(city)
 
 
+def _stored_by(t: Tables, partition: str, value) -> DataFrame:
+    """The three parts upserted one after the other into a table with this partition column."""
+    path = t.path("contacts")
+    for name in "abc":
+        rows = _part(t, name, "customer_city_id").drop(*merge.AUDIT_COLUMNS).withColumn(partition, value)
+        rows = rows if partition == "customer_city_id" else rows.drop("customer_city_id")
+        at = F.to_date(F.lit(ARRIVED[name]))
+        merge.upsert_table(path, rows, ["customer_id"], _UPDATED, partition, "batch_id", at, null_keys="absent")
+    return merge.stored(t.spark, path, merge.with_audit(rows, at).schema)
+
+
+@query(_replayed("abc", True))
+def upsert_stored_null_partition(t: Tables) -> DataFrame:
+    """A third of the customers have no city and share the NULL partition."""
+    city = F.col("customer_city_id")
+    no_city = F.when(F.pmod(F.xxhash64("customer_id"), F.lit(3)) != 0, city)
+    return _stored_by(t, "customer_city_id", no_city).drop("customer_city_id")
+
+
+@query(_replayed("abc", True))
+def upsert_stored_moved_key(t: Tables) -> DataFrame:
+    """Customers whose segment changes move to another partition."""
+    return _stored_by(t, "segment", F.col("segment"))
+
+
 @query(
     """SELECT campaign_id, campaign_sku, CASE WHEN CAST(campaign_id AS INT) < 15 THEN 'old' ELSE 'new' END AS origin
        FROM {s_campaign_sku}
@@ -169,6 +194,21 @@ def scd2_stored(t: Tables) -> DataFrame:
     return merge.stored(t.spark, path, old.schema)
 
 
+@query(replaced("s_cust_master", _VERSION_DATES))
+def scd2_stored_corrected(t: Tables) -> DataFrame:
+    """The last month arrives twice: first with wrong segments for half of the customers, then as it is."""
+    path = t.path("versions")
+    months = customer_batches(t.bronze("cust_master"))
+    last = months.agg(F.max("batch_id")).first()[0]
+    old = scd2.history(months.filter(F.col("batch_id") < last), "customer_id", TRACKED)
+    scd2.store_history(old, path)
+    right = months.filter(F.col("batch_id") == last)
+    wrong = F.when(F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0, F.lit("WRONG")).otherwise(F.col("customer_segment"))
+    for delivery in (right.withColumn("customer_segment", wrong), right):
+        scd2.merge_stored(path, delivery, "customer_id", TRACKED)
+    return merge.stored(t.spark, path, old.schema)
+
+
 @query(f"SELECT customer_id, batch_id, {ROW_HASH} AS row_hash FROM {{s_customer_batches}}", name="row_hash")
 def hash_of_tracked(t: Tables) -> DataFrame:
     return customer_batches(t.bronze("cust_master")).select("customer_id", "batch_id", row_hash(TRACKED).alias("row_hash"))

@@ -147,7 +147,8 @@ CTES["s_sales_order"] = latest(
         FROM {{f_sales_order_redelivered}}""",
     "order_number",
 )
-_TWIN = "order_id, sku, discount_pct, Quantity, unit_price"
+# Twins count inside one batch.
+_TWIN = "order_id, sku, discount_pct, Quantity, unit_price, batch_id"
 CTES["s_sales_order_lines"] = latest(
     f"""SELECT line_id AS order_line_id, order_id, sku AS product_sku, Quantity AS line_quantity,
                CAST(unit_price AS DECIMAL(18,2)) AS line_unit_price, CAST(discount_pct AS DECIMAL(5,4)) AS line_discount_pct,
