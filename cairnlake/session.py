@@ -28,10 +28,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, a laptop) gets a temporary folder.
+    A cluster must name one: a folder of one machine would hold but part of a table. Only
+    a local session (tests, a laptop) may go without and gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="cairnlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/cairnlake/{label}-{uuid.uuid4().hex}"
