@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cairnlake-tests-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
