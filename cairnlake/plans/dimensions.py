@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.functions.calendar import UNKNOWN_TEXT
 from cairnlake.functions.keys import UNKNOWN_SK, date_id, surrogate_key
-from cairnlake.operators import joins, scd2
+from cairnlake.operators import dedup, joins, scd2
 
 
 def _place_of_city(cities: DataFrame, regions: DataFrame, city_key: str, prefix: str) -> DataFrame:
@@ -21,9 +21,19 @@ def _place_of_city(cities: DataFrame, regions: DataFrame, city_key: str, prefix:
     )
 
 
+def _one_address(address: DataFrame, kind: str) -> DataFrame:
+    """The address of a type for each customer: of several the one with the smallest id.
+
+    Addresses are keyed by id, customer and type, so a customer may have more than one; a
+    second one would double the customer's versions and then its orders.
+    """
+    of_kind = address.filter(F.col("customer_address_type") == kind)
+    return dedup.latest_per_key(of_kind, ["customer_id"], [F.col("customer_address_id").asc()])
+
+
 def dim_customer(versions: DataFrame, address: DataFrame, cities: DataFrame, regions: DataFrame) -> DataFrame:
     """Every customer version with its ship-to address; the key hashes customer and start date."""
-    ship_to = address.filter(F.col("customer_address_type") == "SHIP_TO").select(
+    ship_to = _one_address(address, "SHIP_TO").select(
         "customer_id", "customer_street", "customer_postal_code", "customer_address_type"
     )
     places = _place_of_city(cities, regions, "customer_city_id", "customer")
@@ -55,7 +65,7 @@ def dim_customer_account(versions: DataFrame, address: DataFrame, cities: DataFr
         date_id("customer_created_date").alias("customer_account_created_date_id"),
         F.col("customer_active_flag").alias("account_active_flag"),
     )
-    bill_to = address.filter(F.col("customer_address_type") == "BILL_TO").select(
+    bill_to = _one_address(address, "BILL_TO").select(
         F.col("customer_id").alias("account_id"),
         F.col("customer_postal_code").alias("account_bill_to_postal_code"),
         F.col("customer_address_type").alias("account_bill_to_address_type"),

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from cairnlake.functions import calendar as cal
 from cairnlake.functions.keys import row_hash, surrogate_key
 from cairnlake.operators import checks, clean, skew
-from cairnlake.plans import facts, warehouse
+from cairnlake.plans import dimensions, facts, warehouse
 from tests.conftest import plan, rows
 from verification.registry import Tables
 
@@ -152,3 +152,13 @@ def test_rebuilding_gold_changes_no_row(tables, name):
     once = warehouse.merge_gold(None, gold[name], name)
     twice = warehouse.merge_gold(once, gold[name], name)
     assert rows(twice.select(*gold[name].columns)) == rows(gold[name])
+
+
+def test_second_address_does_not_double_versions(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    address = tables.silver("address")
+    twice = address.unionByName(address.withColumn("customer_address_id", F.concat("customer_address_id", F.lit("z"))))
+    places = tables.silver("cities"), tables.silver("regions")
+    for build in (dimensions.dim_customer, dimensions.dim_customer_account):
+        plain = build(tables.silver("cust_master"), address, *places)
+        assert rows(build(tables.silver("cust_master"), twice, *places)) == rows(plain)

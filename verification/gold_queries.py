@@ -18,7 +18,9 @@ CTES["g_dim_customer"] = """
            c.city_name AS customer_city_name, c.region_name AS customer_region, r.region_id AS customer_region_id,
            r.region_name AS customer_region_name, v.valid_from, v.valid_to, v.is_current
     FROM {s_cust_master} v
-    JOIN {s_address} a ON a.customer_id = v.customer_id AND a.customer_address_type = 'SHIP_TO'
+    JOIN (SELECT * FROM {s_address} WHERE customer_address_type = 'SHIP_TO'
+          QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY customer_address_id) = 1) a
+      ON a.customer_id = v.customer_id
     LEFT JOIN {s_cities} c ON c.city_id = v.customer_city_id
     LEFT JOIN {s_regions} r ON r.region_id = c.region_id"""
 CTES["g_dim_customer_account"] = """
@@ -31,7 +33,9 @@ CTES["g_dim_customer_account"] = """
            a.customer_address_type AS account_bill_to_address_type, c.city_name AS account_city_name,
            c.region_name AS account_region, r.region_id AS account_region_id, r.region_name AS account_region_name
     FROM {s_cust_master} v
-    JOIN {s_address} a ON a.customer_id = v.customer_id AND a.customer_address_type = 'BILL_TO'
+    JOIN (SELECT * FROM {s_address} WHERE customer_address_type = 'BILL_TO'
+          QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY customer_address_id) = 1) a
+      ON a.customer_id = v.customer_id
     LEFT JOIN {s_cities} c ON c.city_id = v.customer_city_id
     LEFT JOIN {s_regions} r ON r.region_id = c.region_id
     WHERE v.is_current"""
