@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_BLANKS = str.maketrans({c: " " for c in "\t\n\r\x0b\x0c"})
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that what a task holds besides them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
-def split_words(texts: list[str | None], lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def split_words(texts: list[str | None] | pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words (runs without ASCII blanks), the word numbers of all texts end to end, and words per text.
 
     lower: A-Z are lower-cased first. A NULL text has no words. Splitting and numbering happen
     outside Python, so Python sees each distinct word of the batch once.
     """
-    flat_texts = pa.array([(t or "").translate(_BLANKS) for t in texts], pa.large_string())
-    parts = pc.split_pattern(pc.ascii_lower(flat_texts) if lower else flat_texts, " ")
-    flat = parts.values
-    owner = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
-    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    coded = flat.filter(pa.array(real)).dictionary_encode()
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
+    flat, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(flat).to_numpy(zero_copy_only=False)
+    if len(lengths) and not lengths.all():  # blanks at a text's ends leave empty parts
+        real = lengths > 0
+        owner = np.repeat(np.arange(len(column)), sizes)
+        flat, sizes = flat.filter(pa.array(real)), np.bincount(owner[real], minlength=len(column))
+    coded = flat.dictionary_encode()
     words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    return words, coded.indices.to_numpy().astype(np.int64), np.bincount(owner[real], minlength=len(texts))
+    return words, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes.astype(np.int64)

@@ -7,10 +7,11 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cairnlake.llm import language_id, markov_model as mm, toxicity as tox
 from cairnlake.llm.words import split_words
-from tests.llm.conftest import ODD, TEXT_SCHEMA
+from tests.llm.conftest import ODD
 
 
 def tokens(text):
@@ -19,27 +20,27 @@ def tokens(text):
 
 def test_base_scores_and_counts(spark, odd, clashing, empty):
     training = [r for r in ODD if r[0] is None or r[0] % 2]
-    rows = spark.createDataFrame(training, TEXT_SCHEMA).toDF("id", "text")
+    learns = F.expr("id is null or id % 2 = 1")
     counts = Counter(w for _, t in training for w in tokens(t))
     n, v = sum(counts.values()), len(counts)
     want = sorted((str(i), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens(t)), 4)) for i, t in ODD)
     for df in (odd, clashing):
-        got = mm.score_texts(df, "doc_id", "text", rows).collect()
+        got = mm.score_texts(df, "doc_id", "text", learns).collect()
         assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
         assert all(np.isfinite(r.score) and r.score < 0 for r in got)
         assert len({(r.doc_id, round(r.score, 6)) for r in got if r.doc_id == 4}) == 1
-    assert mm.score_texts(empty, "doc_id", "text", rows).count() == 0
-    unknown = mm.score_texts(odd, "doc_id", "text", rows.limit(0)).collect()
+    assert mm.score_texts(empty, "doc_id", "text", learns).count() == 0
+    unknown = mm.score_texts(odd, "doc_id", "text", F.lit(False)).collect()
     assert len(unknown) == len(ODD) and all(r.n_known == 0 and abs(r.base_score) < 1e-6 for r in unknown)
 
 
 def test_rare_words_come_through_the_join(spark, odd, monkeypatch):
     """With a low bound all counts but the most frequent are joined; nothing changes."""
-    rows = odd.toDF("id", "text")
-    full = {(str(r.doc_id), r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in mm.score_texts(odd, "doc_id", "text", rows).collect()}
+    learns = F.lit(True)
+    full = {(str(r.doc_id), r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in mm.score_texts(odd, "doc_id", "text", learns).collect()}
     monkeypatch.setattr(mm, "KNOWN_COUNT", 20)
     monkeypatch.setattr(mm, "OWN_SYMBOL", 10)
-    joined = {(str(r.doc_id), r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in mm.score_texts(odd, "doc_id", "text", rows).collect()}
+    joined = {(str(r.doc_id), r.n_tokens): (r.n_known, round(r.base_score, 6)) for r in mm.score_texts(odd, "doc_id", "text", learns).collect()}
     assert joined == full
 
 
@@ -82,12 +83,12 @@ def test_expected_counts_raise_the_likelihood():
 
 
 def test_partitions_add_up(spark, odd):
-    rows = odd.toDF("id", "text").selectExpr("id", "coalesce(text, '') as text")
+    rows = odd.toDF("id", "text").selectExpr("id", "text", "xxhash64(id, text) as key", "true as learns")
     counts = mm.gather_counts(mm.count_words(rows), rows.count())
-    encoder, frequencies = mm.Encoder(counts), counts.frequencies()
+    sequences, frequencies = mm.encode_texts(rows, mm.Encoder(counts)).filter("word is null"), counts.frequencies()
     model = mm.Model.first(frequencies, 1)
-    one = mm.corpus_step(rows.coalesce(1), encoder, model, frequencies)
-    many = mm.corpus_step(rows.repartition(7), encoder, model, frequencies)
+    one = mm.corpus_step(sequences.coalesce(1), model, frequencies)
+    many = mm.corpus_step(sequences.repartition(7), model, frequencies)
     assert np.allclose(one.emit, many.emit) and np.allclose(one.move, many.move) and np.allclose(one.start, many.start)
 
 
