@@ -20,7 +20,7 @@ SLOTS, WIDTH, HIDDEN = 1 << 14, 8, 8
 ROWS_PER_LABEL = 1200
 #: Rounds over the training documents with windows drawn at random, then with the highest ones;
 #: a small sample gets as many more rounds as these numbers of steps need.
-EPOCHS_ANY, EPOCHS_BEST = 3, 4
+EPOCHS_ANY, EPOCHS_BEST = 4, 10
 LEAST_STEPS_ANY, LEAST_STEPS_BEST = 60, 30
 #: Windows a training document may contribute to a random round (scoring takes all).
 DRAWN = 5
