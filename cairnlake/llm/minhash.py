@@ -22,8 +22,6 @@ SYMBOLS, CHUNKS = 80, 16
 FARTHEST = 2 * CHUNKS - 1
 #: Members of a bucket that are compared in one go.
 BLOCK = 1024
-#: Rounds in which a document tests its nearest candidate only; then all that are left are tested.
-NEAREST_ROUNDS = 3
 
 _RNG = np.random.default_rng(20)
 _A = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,58 +130,116 @@ def distances(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, distance int")
 
 
-def crossing_pairs(members: DataFrame) -> DataFrame:
-    """``a``, ``b``, ``distance`` of near pairs of a bucket that lie in different components.
+_CELL = "key long, i int, j int, block int, node long"
 
-    members: ``key``, ``node``, ``component``, ``size`` (of its bucket), ``sig``, ``n_shingles``. A bucket is
-    cut into blocks of members; a task compares two blocks, so no task ever holds a bucket, and
-    only near pairs leave it.
+
+def _cells(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """The rows of each cell; they come sorted by ``key``, ``i``, ``j``, which lead the columns."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if held and row[:3] != held[0][:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+_COLUMNS = ("key", "i", "j", "block", "node", "component", "n_shingles", "sig")
+
+
+def near_in_cell(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the near pairs of different components between a cell's two blocks, nearest first.
+
+    A pair may meet in many buckets; it counts only in that of the first key both have.
+    """
+    key, i, j = rows[0][:3]
+    left = np.array([r[3] == i for r in rows])
+    node, component, size = (np.array([r[k] for r in rows]) for k in (4, 5, 6))
+    sigs = np.frombuffer(b"".join(r[7] for r in rows), "<u2").reshape(-1, SYMBOLS)
+    keys = chunk_keys(sigs)
+    a, b = np.flatnonzero(left), np.flatnonzero(left if i == j else ~left)
+    found = []
+    for at in range(0, len(a), 64):
+        some = a[at : at + 64]
+        may = component[some, None] != component[b]
+        may &= 100 * np.minimum(size[some, None], size[b]) >= PERCENT * np.maximum(size[some, None], size[b])
+        if i == j:
+            may &= node[some, None] < node[b]
+        x, y = np.nonzero(may)
+        for lo in range(0, len(x), 50_000):
+            xs, ys = some[x[lo : lo + 50_000]], b[y[lo : lo + 50_000]]
+            d = (sigs[xs] != sigs[ys]).sum(1)
+            near = d <= FARTHEST
+            xs, ys, d = xs[near], ys[near], d[near]
+            first = np.argmax(keys[xs] == keys[ys], axis=1)
+            here = keys[xs, first] == key
+            found.append(np.stack((xs[here], ys[here], d[here])))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    xs, ys, d = np.concatenate(found, axis=1)
+    order = np.argsort(d, kind="stable")
+    return xs[order], ys[order]
+
+
+def crossing_links(members: DataFrame, df: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a``, ``b``: links that join different components of a bucket, as many as it takes.
+
+    members: ``key``, ``node``, ``component``, ``size`` (of its bucket). A bucket is cut into blocks of
+    members; a task compares two blocks, so no task ever holds a bucket. A first pass finds the
+    members with a near partner, by signature; a second one, with their full sets, tests
+    near pairs from the nearest on and leaves out those it has joined by then. So no list of
+    pairs ever leaves a task: of a cell come at most as many links as it has components.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")})
+    placed = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     # A block meets itself and every other: cell (i, j) with i <= j gets blocks i and j.
     cells = placed.select(
-        "*", F.explode(F.expr("transform(sequence(0, blocks - 1), j -> struct(least(block, j) as i, greatest(block, j) as j))")).alias("cell")
-    ).select("key", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "block", "node", "component", "n_shingles", "sig")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        now = None
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "block", "node", "component", "n_shingles", "sig")]
-            for row in zip(*columns):
-                if row[:3] != now:
-                    yield from compare(held)
-                    held, now = [], row[:3]
-                held.append(row)
-        yield from compare(held)
-
-    def compare(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if len(held) < 2:
-            return
-        i, j = held[0][1:3]
-        rows = [r for r in held if r[3] == i]
-        other = rows if i == j else [r for r in held if r[3] == j]
-        if not other:
-            return
-        left, right = (tuple(np.array(c) for c in zip(*[r[4:7] for r in side])) for side in (rows, other))
-        s, t = (np.frombuffer(b"".join(r[7] for r in side), "<u2").reshape(-1, SYMBOLS) for side in (rows, other))
-        for at in range(0, len(rows), 64):
-            some = slice(at, at + 64)
-            n, m = left[2][some, None], right[2][None, :]
-            may = (left[1][some, None] != right[1][None, :]) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
-            if i == j:
-                may &= left[0][some, None] < right[0][None, :]
-            x, y = np.nonzero(may)
-            for lo in range(0, len(x), 50_000):
-                xs, ys = x[lo : lo + 50_000] + at, y[lo : lo + 50_000]
-                d = (s[xs] != t[ys]).sum(1)
-                near = d <= FARTHEST
-                a, b = left[0][xs[near]], right[0][ys[near]]
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(d[near].astype(np.int32))], names=["a", "b", "distance"])
-
-    return cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long, distance int").distinct()
+        "*", F.explode(F.expr("transform(sequence(0, blocks - 1), k -> struct(least(block, k) as i, greatest(block, k) as j))")).alias("cell")
+    ).select("key", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "block", "node", "component")
+    described = cells.join(classes.select("node", "n_shingles", "sig"), "node").select(*_COLUMNS)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches, _COLUMNS):
+            used = np.unique(np.concatenate(near_in_cell(rows)))
+            if len(used):
+                kept = list(zip(*(rows[k][:5] for k in used)))
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(kept, types)], names=list(_COLUMNS[:5]))
+
+    in_order = lambda x: x.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    used = written(in_order(described).mapInArrow(search, _CELL), "minhash-cells")
+    wanted = written(classes.join(used.select("node").distinct(), "node", "left_semi").select("node", "id", "text_key"), "minhash-wanted")
+    sets = sets_of(df, wanted)
+    labels = members.select("node", "component").distinct()
+    full = used.join(labels, "node").join(classes.select("node", "n_shingles", "sig"), "node").join(sets, "node")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches, (*_COLUMNS, "shingles")):
+            sets = [np.frombuffer(r[8], np.uint64) for r in rows]
+            up = {r[5]: r[5] for r in rows}
+
+            def root(c: int) -> int:
+                while up[c] != c:
+                    up[c] = c = up[up[c]]
+                return c
+
+            links = []
+            for x, y in zip(*(k.tolist() for k in near_in_cell(rows))):
+                p, q = root(rows[x][5]), root(rows[y][5])
+                if p != q and sets_link(sets[x], sets[y]):
+                    up[max(p, q)] = min(p, q)
+                    links.append((rows[x][4], rows[y][4]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
+
+    return in_order(full.select(*_COLUMNS, "shingles")).mapInArrow(test, "a long, b long")
+
+
+def sets_link(x: np.ndarray, y: np.ndarray) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
 
 def sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -214,9 +270,7 @@ def confirmed(pairs: DataFrame, df: DataFrame, classes: DataFrame, label: str) -
         for batch in batches:
             good = []
             for k, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= PERCENT * (len(x) + len(y) - common):
+                if sets_link(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)):
                     good.append(k)
             good = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(good), batch.column("b").take(good)], names=["a", "b"])
@@ -240,10 +294,8 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
 
     A bucket's members are first held against its least member, one pair each, which settles
     groups of copies without all their pairs. Only buckets that then still hold members of
-    different components compare these, in blocks, and only near pairs leave a task. Pairs
-    are confirmed on full sets; a document tests its nearest candidate first, and once joined
-    it needs no other of that component. What is left after NEAREST_ROUNDS rounds is tested
-    altogether, so no near pair of different components stays untested.
+    different components compare these, in blocks, on full sets (see crossing_links), so no
+    near pair of different components stays untested and no list of pairs is ever made.
 
     Returns one row per input row: the id, ``text_key`` (hash of the text), ``n_shingles``, ``component_id``
     (the least id of the group) and ``kept``. A NULL, empty or blank text has an empty set and links with
@@ -267,25 +319,10 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
     labels = written(components(nodes, links, "minhash"), "minhash-components")
     placed = members.join(labels, "node")
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    narrow = placed.join(open_keys, "key").select("key", "node", "component", "size")
-    crossing = crossing_pairs(narrow.join(classes.select("node", "sig", "n_shingles"), "node"))
-    left = written(crossing.join(stars.select("a", "b"), ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "minhash-crossing")
-
-    turn = 0
-    while not left.isEmpty():
-        turn += 1
-        chosen = written(nearest(left), "minhash-chosen") if turn <= NEAREST_ROUNDS else left
-        found = confirmed(chosen, df, classes, "minhash-crossing")
-        if turn > NEAREST_ROUNDS:
-            links = links.unionByName(found)
-            labels = written(components(nodes, links, "minhash"), "minhash-components")
-            break
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = written(components(nodes, links, "minhash"), "minhash-components")
-        side = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-        left = left.join(chosen.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
-        left = written(left.filter("c_a != c_b").select("a", "b", "distance"), "minhash-crossing")
+    still = written(placed.join(open_keys, "key").select("key", "node", "component", "size"), "minhash-open")
+    if not still.isEmpty():
+        links = links.unionByName(written(crossing_links(still, df, classes), "minhash-crossing"))
+        labels = written(components(nodes, links, "minhash"), "minhash-components")
 
     grouped = rows.select("id", "text_key", "node", "n_shingles").join(labels, "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))

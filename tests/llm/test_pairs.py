@@ -72,9 +72,8 @@ def test_near_duplicates_against_brute_force(spark):
     assert found(spark.createDataFrame(rows, TEXT_SCHEMA)) == brute(rows)
 
 
-def test_blocks_and_rounds_change_nothing(spark, monkeypatch):
+def test_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(mh, "BLOCK", 3)
-    monkeypatch.setattr(mh, "NEAREST_ROUNDS", 1)
     rows = copies(2, 25)
     assert found(spark.createDataFrame(rows, TEXT_SCHEMA)) == brute(rows)
 
