@@ -21,6 +21,10 @@ ROUNDS, SETTLED = 3, 0.01
 AUDITED, LEAST_RECALL, RETRIES = 200, 0.99, 2
 #: Members of a component that are compared in one go.
 BLOCK = 1024
+#: Leaves in which linked components are looked for hold so many times LEAF; larger ones are compared in blocks.
+CROSSING_LEAVES = 8
+#: Error that single precision may have at the threshold.
+MARGIN = 1e-4
 #: Two vectors this near to a third are linked to each other, as their angles add up to the threshold's.
 CORE_COSINE = sqrt((1 + LEAST_COSINE) / 2) + 1e-9
 
@@ -84,12 +88,15 @@ def _edges(a: list, b: list, c: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(join(a, np.int64)), pa.array(join(b, np.int64)), pa.array(join(c, np.float32))], names=["a", "b", "cosine"])
 
 
-def leaves(classes: DataFrame, count: int, seed: int) -> DataFrame:
+def leaf_bits(count: int, leaf: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, count / leaf)))))
+
+
+def leaves(classes: DataFrame, bits: int, trees: int, seed: int) -> DataFrame:
     """``tree``, ``leaf``, ``node``, ``small`` (the unit vector in single precision) of every class and tree.
 
-    A leaf is the sign pattern of as many random projections as leaves are needed.
+    A leaf is the sign pattern of ``bits`` random projections.
     """
-    bits = max(0, int(np.ceil(np.log2(max(1, count / LEAF)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +106,7 @@ def leaves(classes: DataFrame, count: int, seed: int) -> DataFrame:
                 nodes = batch.column("node").take(chosen)
                 x = _matrix(batch.column("unit").take(chosen), "<f8")
                 small = pa.array([row.tobytes() for row in x.astype("<f4")], pa.binary())
-                for tree in range(TREES):
+                for tree in range(trees):
                     planes = np.random.default_rng((seed, tree, int(dim))).normal(size=(int(dim), bits))
                     leaf = ((x @ planes > 0) * (1 << np.arange(bits))).sum(1) + (int(dim) << 40) if bits else np.full(len(x), int(dim) << 40)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), tree, np.int32)), pa.array(leaf.astype(np.int64)), nodes, small], names=["tree", "leaf", "node", "small"])
@@ -109,7 +116,7 @@ def leaves(classes: DataFrame, count: int, seed: int) -> DataFrame:
 
 def first_graph(classes: DataFrame, count: int, seed: int) -> DataFrame:
     """Each class's nearest ones within its leaves; a large leaf is dealt into blocks by hash."""
-    placed = leaves(classes, count, seed)
+    placed = leaves(classes, leaf_bits(count, LEAF), TREES, seed)
     sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("blocks"))
     cells = placed.join(sizes, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), F.col("blocks")))
 
@@ -179,6 +186,74 @@ def refine(graph: DataFrame, classes: DataFrame) -> DataFrame:
     return sent.repartition("at").sortWithinPartitions("at").mapInArrow(narrow, _EDGE)
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Places of those pairs that join what earlier ones have not."""
+    up: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while up.setdefault(c, c) != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    out = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        p, q = root(x), root(y)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            out.append(k)
+    return out
+
+
+def crossing_edges(classes: DataFrame, labels: DataFrame, count: int, seed: int) -> DataFrame:
+    """Pairs above the threshold whose classes are in different components, though lists are full without them.
+
+    labels: ``node``, ``component``. In each leaf that holds several components all pairs of different
+    ones are compared, in blocks if the leaf is large, so no list limits what is found. Pairs surely
+    above the threshold are reduced in the task to those that join components, at most one less
+    than its components; such within MARGIN of it are all reported, for exact_edges to decide.
+    """
+    placed = leaves(classes, leaf_bits(count, CROSSING_LEAVES * LEAF), TREES, seed).join(labels, "node")
+    sizes = placed.groupBy("tree", "leaf").agg(
+        F.ceil(F.count("*") / (2 * CROSSING_LEAVES * LEAF)).cast("int").alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    cells = placed.join(sizes.filter("low != high").drop("low", "high"), ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), F.col("blocks")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    keys = ["tree", "leaf", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _runs(batches, keys):
+            nodes, component, block = (cell.column(c).to_numpy() for c in ("node", "component", "block"))
+            x = _matrix(cell.column("small").combine_chunks(), "<f4")
+            # Sorted by block: the first one against the second, or one block with itself.
+            n = int((block == block[0]).sum())
+            start = n if cell.column("i")[0].as_py() != cell.column("j")[0].as_py() else 0
+            a, b, c = [], [], []
+            for at in range(0, n, BLOCK):
+                s = x[at : min(n, at + BLOCK)] @ x[start:].T
+                i, j = np.nonzero(s >= LEAST_COSINE - MARGIN)
+                c.append(s[i, j])
+                i, j = i + at, j + start
+                other = component[i] != component[j]
+                other &= (start > 0) | (i < j)
+                i, j, c[-1] = i[other], j[other], c[-1][other]
+                # One sure pair of any two components will do.
+                sure = np.flatnonzero(c[-1] >= LEAST_COSINE + MARGIN)
+                _, first = np.unique(np.stack((component[i[sure]], component[j[sure]])), axis=1, return_index=True)
+                chosen = np.concatenate((sure[first], np.flatnonzero(c[-1] < LEAST_COSINE + MARGIN)))
+                a.append(i[chosen])
+                b.append(j[chosen])
+                c[-1] = c[-1][chosen]
+            a, b, c = (np.concatenate(v) for v in (a, b, c))
+            sure = np.flatnonzero(c >= LEAST_COSINE + MARGIN)
+            sure = sure[_spanning(component[a[sure]], component[b[sure]])]
+            chosen = np.concatenate((sure, np.flatnonzero(c < LEAST_COSINE + MARGIN)))
+            if len(chosen):
+                yield _edges([nodes[a[chosen]]], [nodes[b[chosen]]], [c[chosen]])
+
+    sent = cells.select(*keys, "block", "node", "component", "small")
+    return sent.repartition(*keys).sortWithinPartitions(*keys, "block").mapInArrow(run, _EDGE)
+
+
 def count_links(members: DataFrame) -> DataFrame:
     """``node``, ``links``: the copies of all other classes of the component that each is linked with.
 
@@ -258,9 +333,10 @@ def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int =
 
     Equal directions form one class with their number. Neighbour lists start from the leaves of
     random trees and are refined by neighbours-of-neighbours joins until few entries change. Entries
-    above the threshold connect classes to components; a list all of whose entries are above it
-    is saturated, and as any list may be, each is enlarged to its whole component: links are
-    counted there exactly, in blocks (see count_links). A sample's recall is audited against all
+    above the threshold connect classes to components. A list all of whose entries are above it
+    is saturated and may miss links to other components, so components are held against each
+    other in leaves, without lists (see crossing_edges), and links are counted in the joined ones
+    exactly, in blocks (see count_links). A sample's recall is audited against all
     vectors; if it falls short, more trees and rounds are added to the graph.
 
     Returns one row per input row: the id, ``n_links``, ``component_id`` (least id reachable) and ``kept``.
@@ -273,7 +349,8 @@ def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int =
     classes = rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.max("dim").alias("dim"), F.max("unit").alias("unit"))
     classes = written(classes, "vector-classes")
     count = classes.count()
-    graph = None
+    graph = crossed = None
+    nodes = classes.select("node")
     for attempt in range(RETRIES + 1):
         started = first_graph(classes, count, seed + attempt)
         graph = written(started if graph is None else nearest(graph.unionByName(started)), "vector-graph")
@@ -283,8 +360,13 @@ def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int =
             changed = graph.join(before, ["a", "b"], "left_anti").count()
             if changed <= SETTLED * max(1, graph.count()):
                 break
-        nodes = classes.select("node")
-        labels = written(components(nodes, exact_edges(graph, classes), "vector"), "vector-components")
+        edges = written(exact_edges(graph, classes), "vector-edges")
+        edges = edges if crossed is None else edges.unionByName(crossed)
+        labels = written(components(nodes, edges, "vector"), "vector-components")
+        found = written(exact_edges(crossing_edges(classes, labels, count, seed + attempt), classes), "vector-crossing")
+        if not found.isEmpty():
+            crossed = found if crossed is None else crossed.unionByName(found)
+            labels = written(components(nodes, edges.unionByName(found), "vector"), "vector-components")
         sized = labels.groupBy("component").count().filter("count > 1").select("component")
         members = labels.join(sized, "component").join(classes.select("node", "copies", "unit"), "node")
         links = written(count_links(members), "vector-links")
@@ -304,7 +386,7 @@ def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int =
 def exact_edges(graph: DataFrame, classes: DataFrame) -> DataFrame:
     """Entries of the graph that are links in double precision."""
     side = lambda x: classes.select(F.col("node").alias(x), F.col("unit").alias(f"unit_{x}"))
-    near = graph.filter(F.col("cosine") >= LEAST_COSINE - 1e-4).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = graph.filter(F.col("cosine") >= LEAST_COSINE - MARGIN).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -142,6 +142,20 @@ def test_vector_links(spark, monkeypatch, leaf, block):
     assert got == brute_links(rows)
 
 
+@pytest.mark.parametrize("leaf,block", [(256, 1024), (8, 16)])
+def test_tight_groups_that_link_crosswise(spark, monkeypatch, leaf, block):
+    """Neighbour lists are full of the own group, yet all pairs of both groups are links."""
+    monkeypatch.setattr(vl, "LEAF", leaf)
+    monkeypatch.setattr(vl, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    a, b = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+    centres = a, 0.93 * a + np.sqrt(1 - 0.93**2) * b
+    rows = [(50 * g + i, (c + rng.normal(size=64) * 0.001).tolist()) for g, c in enumerate(centres) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in vl.vector_links(df, "vec_id", "embedding").collect())
+    assert got == brute_links(rows) and {g[1] for g in got} == {99}
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vl.vector_links(df, "vec_id", "embedding").count() == 0
