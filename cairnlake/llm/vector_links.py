@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
+from math import acos, ceil, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,11 @@ LEAST_COSINE = 0.9
 NEIGHBOURS, TREES, LEAF = 10, 4, 256
 #: Rounds of neighbours-of-neighbours joins; less if fewer than this share of entries change.
 ROUNDS, SETTLED = 3, 0.01
-#: Vectors whose links are counted against all others to audit recall, the recall asked for, and retries.
-AUDITED, LEAST_RECALL, RETRIES = 200, 0.99, 2
+#: Chance that a pair at the threshold shares no leaf in which components are compared.
+MISSED = 0.005
+#: Vectors whose links are counted against all others to audit recall: at first, and at most; of them, those with
+#: links that are wanted. The recall asked for, and retries.
+AUDITED, MOST_AUDITED, AUDITED_LINKED, LEAST_RECALL, RETRIES = 200, 12_800, 200, 0.99, 4
 #: Members of a component that are compared in one go.
 BLOCK = 1024
 #: Leaves in which linked components are looked for hold so many times LEAF; larger ones are compared in blocks.
@@ -92,6 +95,15 @@ def leaf_bits(count: int, leaf: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1, count / leaf)))))
 
 
+def trees_for(bits: int) -> int:
+    """Trees of so many bits until a pair at the threshold shares a leaf but for a chance of MISSED.
+
+    A random plane parts two vectors with probability angle / pi, whatever the other vectors are.
+    """
+    together = (1 - acos(LEAST_COSINE) / pi) ** bits
+    return 1 if bits == 0 else ceil(log(MISSED) / log(1 - together))
+
+
 def leaves(classes: DataFrame, bits: int, trees: int, seed: int) -> DataFrame:
     """``tree``, ``leaf``, ``node``, ``small`` (the unit vector in single precision) of every class and tree.
 
@@ -208,11 +220,13 @@ def crossing_edges(classes: DataFrame, labels: DataFrame, count: int, seed: int)
     """Pairs above the threshold whose classes are in different components, though lists are full without them.
 
     labels: ``node``, ``component``. In each leaf that holds several components all pairs of different
-    ones are compared, in blocks if the leaf is large, so no list limits what is found. Pairs surely
+    ones are compared, in blocks if the leaf is large, so no list limits what is found. The number of
+    trees grows with that of the leaves (see trees_for). Pairs surely
     above the threshold are reduced in the task to those that join components, at most one less
     than its components; such within MARGIN of it are all reported, for exact_edges to decide.
     """
-    placed = leaves(classes, leaf_bits(count, CROSSING_LEAVES * LEAF), TREES, seed).join(labels, "node")
+    bits = leaf_bits(count, CROSSING_LEAVES * LEAF)
+    placed = leaves(classes, bits, trees_for(bits), seed).join(labels, "node")
     sizes = placed.groupBy("tree", "leaf").agg(
         F.ceil(F.count("*") / (2 * CROSSING_LEAVES * LEAF)).cast("int").alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -299,33 +313,49 @@ def count_links(members: DataFrame) -> DataFrame:
 
 
 def audit(classes: DataFrame, links: DataFrame, seed: int) -> float:
-    """Found links of AUDITED classes (smallest hashes) as a share of those that a full comparison finds."""
-    some = classes.orderBy(F.xxhash64("node", F.lit(seed))).limit(AUDITED).select("node", "dim", "unit").toArrow()
+    """Mean share of its linked copies that a class with links has found, by a full comparison of a sample.
+
+    The sample (smallest hashes) grows fourfold from AUDITED until AUDITED_LINKED of its classes have
+    links, or it is the whole table, or MOST_AUDITED. Each class counts alike, however many
+    copies it or its links have. 1.0 if no class of the sample has links.
+    """
+    order = F.xxhash64("node", F.lit(seed))
+    size = AUDITED
+    while True:
+        some = classes.orderBy(order).limit(size).select("node", "dim", "unit").toArrow()
+        true = true_links(classes, some)
+        linked, recall = true.filter(F.col("true") > 0).join(links, "node", "left").agg(F.count("*"), F.avg(F.least(F.lit(1.0), F.coalesce("links", F.lit(0)) / F.col("true")))).first()
+        if linked >= AUDITED_LINKED or some.num_rows < size or size >= MOST_AUDITED:
+            return 1.0 if recall is None else recall
+        size *= 4
+
+
+def true_links(classes: DataFrame, some: pa.Table) -> DataFrame:
+    """``node``, ``true``: copies of all classes that each of some (``node``, ``dim``, ``unit``) is linked with."""
     queries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     dims = some.column("dim").to_numpy()
     for dim in np.unique(dims):
         chosen = some.filter(pa.array(dims == dim))
         queries[int(dim)] = chosen.column("node").to_numpy(), _matrix(chosen.column("unit").combine_chunks(), "<f8")
-    if not queries:
-        return 1.0
+    sent = classes.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
+        queries = sent.value
+        total = {dim: np.zeros(len(nodes), np.int64) for dim, (nodes, _) in queries.items()}
         for batch in batches:
             all_dims = batch.column("dim").to_numpy()
             for dim, (nodes, x) in queries.items():
-                chosen = pa.array(np.flatnonzero(all_dims == dim))
-                if not len(chosen):
-                    continue
-                y, others = _matrix(batch.column("unit").take(chosen), "<f8"), batch.column("node").take(chosen).to_numpy()
-                linked = (x @ y.T >= LEAST_COSINE) & (nodes[:, None] != others)
-                for node, n in zip(nodes.tolist(), (linked @ batch.column("copies").take(chosen).to_numpy()).tolist()):
-                    total[node] = total.get(node, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["node", "links"])
+                chosen = np.flatnonzero(all_dims == dim)
+                for at in range(0, len(chosen), BLOCK):
+                    part = pa.array(chosen[at : at + BLOCK])
+                    y, others, copies = _matrix(batch.column("unit").take(part), "<f8"), batch.column("node").take(part).to_numpy(), batch.column("copies").take(part).to_numpy()
+                    i, j = np.nonzero(x @ y.T >= LEAST_COSINE)
+                    apart = nodes[i] != others[j]
+                    np.add.at(total[dim], i[apart], copies[j[apart]])
+        for dim, (nodes, _) in queries.items():
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(total[dim])], names=["node", "links"])
 
-    true = classes.select("node", "dim", "unit", "copies").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("true"))
-    row = true.join(links, "node", "left").agg(F.coalesce(F.sum("true"), F.lit(0)), F.coalesce(F.sum(F.least("true", F.coalesce("links", F.lit(0)))), F.lit(0))).first()
-    return 1.0 if row[0] == 0 else row[1] / row[0]
+    return classes.select("node", "dim", "unit", "copies").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("true"))
 
 
 def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int = 3) -> DataFrame:
@@ -337,7 +367,8 @@ def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int =
     is saturated and may miss links to other components, so components are held against each
     other in leaves, without lists (see crossing_edges), and links are counted in the joined ones
     exactly, in blocks (see count_links). A sample's recall is audited against all
-    vectors; if it falls short, more trees and rounds are added to the graph.
+    vectors; if it falls short, more trees and rounds are added to the graph, and if it still
+    does after RETRIES, the result is refused by a RuntimeError.
 
     Returns one row per input row: the id, ``n_links``, ``component_id`` (least id reachable) and ``kept``.
     NULL, empty and zero vectors and such with NULL or non-finite components link with nothing;
@@ -370,8 +401,11 @@ def vector_links(df: DataFrame, id_column: str, vector_column: str, seed: int =
         sized = labels.groupBy("component").count().filter("count > 1").select("component")
         members = labels.join(sized, "component").join(classes.select("node", "copies", "unit"), "node")
         links = written(count_links(members), "vector-links")
-        if audit(classes, links, seed) >= LEAST_RECALL:
+        recall = audit(classes, links, seed)
+        if recall >= LEAST_RECALL:
             break
+    else:
+        raise RuntimeError(f"links of audited vectors are found to {recall:.4f} only")
     per_class = classes.select("node", "copies").join(links, "node", "left").join(labels, "node").select("node", "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     found = rows.select("id", "node").join(per_class, "node", "left")
     names = found.filter("component is not null").groupBy("component").agg(F.min("id").alias("name"))

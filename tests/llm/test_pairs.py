@@ -156,6 +156,35 @@ def test_tight_groups_that_link_crosswise(spark, monkeypatch, leaf, block):
     assert got == brute_links(rows) and {g[1] for g in got} == {99}
 
 
+def test_trees_grow_with_the_table():
+    """Of pairs at the threshold at least 99 % share a leaf, whatever the number of leaves."""
+    rng = np.random.default_rng(6)
+    for bits in (0, 3, 8):
+        x, y = rng.normal(size=(2, 1000, 32))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        y -= (x * y).sum(1)[:, None] * x
+        y = 0.9 * x + np.sqrt(1 - 0.9**2) * y / np.linalg.norm(y, axis=1)[:, None]
+        met = np.zeros(1000, bool)
+        for _ in range(vl.trees_for(bits)):
+            planes = rng.normal(size=(32, bits))
+            met |= ((x @ planes > 0) == (y @ planes > 0)).all(1)
+        assert met.mean() >= 0.985
+
+
+def test_audit_counts_each_class_alike(spark):
+    """A hot pair's links do not hide that those of nine small pairs are missing."""
+    rows = []
+    for pair in range(10):
+        for k in range(2):
+            unit = np.zeros(32)
+            unit[2 * pair], unit[2 * pair + 1] = 1.0, 0.1 * k
+            unit /= np.linalg.norm(unit)
+            rows.append((2 * pair + k, 32, bytearray(unit.astype("<f8").tobytes()), 1_000_000 if pair == 0 else 1))
+    classes = spark.createDataFrame(rows, "node long, dim int, unit binary, copies long")
+    links = spark.createDataFrame([(0, 1_000_000), (1, 1_000_000)], "node long, links long")
+    assert vl.audit(classes, links, 3) == pytest.approx(0.1)
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vl.vector_links(df, "vec_id", "embedding").count() == 0
