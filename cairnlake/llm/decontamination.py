@@ -17,6 +17,8 @@ from cairnlake.llm.words import split_words
 WINDOW, SHORTEST = 8, 4
 #: A document holds an item if it has at least this share of the item's windows.
 LEAST_SHARE = 0.3
+#: An alignment in which names change their parts needs so many of the item's windows without these names.
+PARTED_SHARE = 0.5
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg lb lbs oz ounce ounces pound pounds"
     " ml l litre litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days"
@@ -91,25 +93,29 @@ class Templates:
         unit = (flags & _UNIT > 0) & after_number
         name = (flags & _CAPITAL > 0) & ~first & ~number & ~unit
         self.slot = number | unit | name
-        self.hashes = literal[self.codes] if len(self.codes) else np.empty(0, np.uint64)
+        self.literals = literal[self.codes] if len(self.codes) else np.empty(0, np.uint64)
+        self.hashes = self.literals
         for where, kind in ((number, b"number"), (unit, b"unit"), (name, b"name")):
             self.hashes = np.where(where, _SLOT_HASH[kind], self.hashes)
 
-    def windows(self, length: int, only_whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def windows(self, length: int, only_whole: bool, literal: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, place in the text and hash of each window at least half of which is literal.
 
-        only_whole: just texts of exactly this length.
+        only_whole: just texts of exactly this length. literal: any window, by its words as they are.
         """
         n = len(self.hashes) - length + 1
         if n <= 0:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        total = np.full(n, length * int(_PRIME) & (1 << 64) - 1, np.uint64)
+        hashes = self.literals if literal else self.hashes
+        total = np.full(n, (length + 64 * literal) * int(_PRIME) & (1 << 64) - 1, np.uint64)
         for k in range(length):
-            total = (total ^ self.hashes[k : k + n]) * _PRIME
+            total = (total ^ hashes[k : k + n]) * _PRIME
             total ^= total >> np.uint64(29)
-        slots = np.concatenate(([0], np.cumsum(self.slot)))
-        usable = (owner[:n] == owner[length - 1 :]) & ((slots[length:] - slots[:-length])[:n] * 2 <= length)
+        usable = owner[:n] == owner[length - 1 :]
+        if not literal:
+            slots = np.concatenate(([0], np.cumsum(self.slot)))
+            usable &= (slots[length:] - slots[:-length])[:n] * 2 <= length
         if only_whole:
             usable &= self.sizes[owner[:n]] == length
         at = np.flatnonzero(usable)
@@ -119,26 +125,34 @@ class Templates:
         at = int(self.first[text]) + place
         return [core(self.words[self.codes[i]]).lower() for i in range(at, at + length) if self.slot[i]]
 
-_WINDOW_SCHEMA = "item_id {item}, n_windows long, length int, item_place int, hash long, item_slots array<string>"
+_WINDOW_SCHEMA = "item_id {item}, n_windows long, length int, literal boolean, item_place int, hash long, item_slots array<string>"
 
 
 def item_windows(benchmark: DataFrame, item_column: str, text_column: str, window: int) -> DataFrame:
-    """Template windows of every benchmark item; items below SHORTEST tokens have none."""
+    """Template windows of every benchmark item; literal ones of items that have none of these."""
     rows = pick(benchmark, item_id=item_column, text=text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = Templates(batch.column("text").to_pylist())
             ids = batch.column("item_id").to_pylist()
-            columns: list[list] = [[] for _ in range(6)]
-            for length in range(SHORTEST, window + 1):
-                text, place, hashes = t.windows(length, only_whole=length < window)
-                count = np.bincount(text, minlength=len(ids))
-                for i, p, h in zip(text, place, hashes):
-                    for c, v in zip(columns, (ids[i], int(count[i]), length, int(p), int(h.astype(np.int64)), t.slot_values(i, int(p), length))):
-                        c.append(v)
-            types = (batch.schema.field("item_id").type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=["item_id", "n_windows", "length", "item_place", "hash", "item_slots"])
+            columns: list[list] = [[] for _ in range(7)]
+            covered = np.zeros(len(ids), bool)
+            for literal in (False, True):
+                for length in range(1 if literal else SHORTEST, window + 1):
+                    text, place, hashes = t.windows(length, length < window, literal)
+                    if literal:
+                        new = ~covered[text]
+                        text, place, hashes = text[new], place[new], hashes[new]
+                    count = np.bincount(text, minlength=len(ids))
+                    for i, p, h in zip(text, place, hashes):
+                        slots = [] if literal else t.slot_values(i, int(p), length)
+                        for c, v in zip(columns, (ids[i], int(count[i]), length, literal, int(p), int(h.astype(np.int64)), slots)):
+                            c.append(v)
+                    if not literal:
+                        covered |= count > 0
+            types = (batch.schema.field("item_id").type, pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=["item_id", "n_windows", "length", "literal", "item_place", "hash", "item_slots"])
 
     return rows.mapInArrow(run, _WINDOW_SCHEMA.format(item=rows.schema["item_id"].dataType.simpleString())).distinct()
 
@@ -165,21 +179,22 @@ def find_items(
 
     Words become lower-cased tokens without the signs around them; numbers, units behind numbers,
     and capitalised words inside a sentence become typed placeholders. Windows of ``window``
-    tokens, at least half of them literal, are joined by hash. Along one alignment each slot
-    value of the item must always face the same value of the document; an alignment with a
-    conflict does not count. The document holds the item if ``least_share`` of the item's windows
-    are found in alignments that count.
+    tokens, at least half of them literal, are joined by hash. Equal numbers and units of the item
+    may face different values. A name of the item that faces several names of the document, none
+    of them itself, has changed its part: then windows with it do not count, and the others only
+    if they are PARTED_SHARE of the item's. The document holds the item if ``least_share`` of the
+    item's windows count. An item without such windows, short or mostly of placeholders, is
+    looked for by its words as they are, in windows of the same length.
 
     A filter of fixed size lets only windows of the documents through that may be the benchmark's,
     so those alone are shuffled. The matches are summed by position before the last count.
 
     Returns ``key`` (see document_key), the id, ``item_id``, ``n_windows`` (found) and ``share``, one row
-    for each pair. NULL or empty texts and items, items below SHORTEST tokens or mostly of
-    placeholders match nothing; NULL ids are kept as such; repeated rows of documents give one
+    for each pair. NULL or empty texts and items match nothing; NULL ids are kept as such; repeated rows of documents give one
     pair, repeated items count once; empty tables give no pair; further columns are ignored.
     """
     windows = written(item_windows(benchmark, item_column, item_text_column, window), "item-windows")
-    lengths = sorted(r.length for r in windows.select("length").distinct().collect())
+    lengths = sorted((r.length, r.literal) for r in windows.select("length", "literal").distinct().collect())
     rows = pick(df, id=id_column, text=text_column)
     high, low = _bitmap(windows, 64 - FILTER_BITS), _bitmap(windows, 64 - 2 * FILTER_BITS)
     sent = df.sparkSession.sparkContext.broadcast((np.packbits(high), np.packbits(low)))
@@ -191,16 +206,20 @@ def find_items(
         high, low = (np.unpackbits(x).view(bool) for x in sent.value)
         for batch in batches:
             t = Templates(batch.column("text").to_pylist())
-            for length in lengths:
-                text, place, hashes = t.windows(length, only_whole=False)
+            for length, literal in lengths:
+                text, place, hashes = t.windows(length, False, literal)
                 hit = high[hashes >> np.uint64(64 - FILTER_BITS)]
                 text, place, hashes = text[hit], place[hit], hashes[hit]
                 hit = low[(hashes >> np.uint64(64 - 2 * FILTER_BITS)) & mask]
                 text, place, hashes = text[hit], place[hit], hashes[hit]
+                if literal and len(text):
+                    # One of equal windows of a text will do, as they have no slots to compare.
+                    once = np.unique(np.stack((text.astype(np.uint64), hashes)), axis=1, return_index=True)[1]
+                    text, place, hashes = text[once], place[once], hashes[once]
                 for at in range(0, len(text), 10_000):
                     some = slice(at, at + 10_000)
                     chosen = pa.array(text[some])
-                    slots = [t.slot_values(i, int(p), length) for i, p in zip(text[some], place[some])]
+                    slots = [[] if literal else t.slot_values(i, int(p), length) for i, p in zip(text[some], place[some])]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("id").take(chosen), batch.column("key").take(chosen), pa.array(place[some].astype(np.int32)), pa.array(hashes[some].view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
                         names=["id", "key", "place", "hash", "slots"],
@@ -209,10 +228,14 @@ def find_items(
     hits = rows.mapInArrow(run, f"id {id_type}, key long, place int, hash long, slots array<string>")
     pairs = hits.join(windows, "hash").withColumn("pairs", F.expr("transform(item_slots, (x, i) -> struct(x as item, slots[i] as document))"))
     aligned = pairs.groupBy("key", "id", "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("shift")).agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+        F.collect_set(F.struct("item_place", "item_slots")).alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
-    consistent = aligned.filter(F.size(F.array_distinct(F.col("pairs.item"))) == F.size("pairs"))
-    found = consistent.select("key", "id", "item_id", "n_windows", F.explode("places").alias("place")).distinct()
+    units = F.array(*[F.lit(u) for u in sorted(UNITS)])
+    aligned = aligned.withColumn("names", F.filter("pairs", lambda p: ~p["item"].rlike("^\\p{Nd}") & ~F.array_contains(units, p["item"])))
+    aligned = aligned.withColumn("parted", F.expr("filter(array_distinct(names.item), v -> size(filter(names, p -> p.item = v)) > 1 and not exists(names, p -> p.item = v and p.document = v))"))
+    aligned = aligned.withColumn("places", F.expr("transform(filter(windows, w -> not arrays_overlap(w.item_slots, parted)), w -> w.item_place)"))
+    counted = aligned.filter((F.size("parted") == 0) | (F.size("places") >= PARTED_SHARE * F.col("n_windows")))
+    found = counted.select("key", "id", "item_id", "n_windows", F.explode("places").alias("place")).distinct()
     return (
         found.groupBy("key", "id", "item_id", F.col("n_windows").alias("all_windows"))
         .agg(F.count("*").alias("n_windows"))

@@ -214,6 +214,26 @@ def test_templates(spark):
     assert kept.columns == docs.columns and sorted(str(r[0]) for r in kept.collect()) == ["11", "14", "15", "16", "17"]
 
 
+LOST = [
+    (1, "In March Anna bought 12 kg of apples and later on Anna sold them all at the old market near the river."),
+    (2, "She had 5 apples and 5 pears in total"), (3, "What is 12 + 5 * 3 - 7?"), (4, "Name it"), (5, "1 2 3 4 5 6 7 8 9 10"),
+    (6, "At first Anna met nobody else and Anna left; " + " ".join(f"then came word{i}" for i in range(30))),
+]
+COPIES = [
+    (1, 1, LOST[0][1].replace("on Anna", "on Clara")), (2, 1, LOST[0][1].replace("March Anna", "March Clara")),
+    (3, 2, "so she had 7 apples and 9 pears in total"), (4, 3, "before. What is 12 + 5 * 3 - 7? After"), (5, 4, "please name it now, name it"),
+    (6, 5, "count 1 2 3 4 5 6 7 8 9 10 now"), (7, 6, LOST[5][1].replace("first Anna", "first Clara").replace("and Anna", "and Dora")),
+    (8, None, "What is 13 + 5 * 3 - 7?"), (9, None, "name that it is"),
+]
+
+
+def test_copies_with_conflicts_and_of_slot_heavy_items(spark):
+    docs = spark.createDataFrame([(i, t) for i, _, t in COPIES], TEXT_SCHEMA)
+    items = spark.createDataFrame(LOST, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dec.find_items(docs, "doc_id", "text", items, "item_id", "text").collect()}
+    assert got == {(i, k) for i, k, _ in COPIES if k}
+
+
 def test_templates_of_odd_rows(odd, clashing, empty):
     items = odd.selectExpr("doc_id as item_id", "text").filter("item_id = 9 or item_id = 5 or item_id is null")
     for df in (odd, clashing):
