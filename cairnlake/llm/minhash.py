@@ -285,8 +285,10 @@ def nearest(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("place", F.row_number().over(by)).filter("place = 1").drop("place")
 
 
-def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Groups of documents whose sets of 5-word shingles link, directly or by others.
+def groups(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``id``, ``text_key``, ``n_shingles`` and ``component``, the group's number (NULL: links with nothing), of every row.
+
+    Groups of documents whose sets of 5-word shingles link, directly or by others.
 
     Equal sets form one class first, whatever their number. Every class has SYMBOLS minhash symbols in
     CHUNKS chunks; by the pigeonhole principle any two classes up to FARTHEST symbols apart share a
@@ -296,12 +298,6 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
     groups of copies without all their pairs. Only buckets that then still hold members of
     different components compare these, in blocks, on full sets (see crossing_links), so no
     near pair of different components stays untested and no list of pairs is ever made.
-
-    Returns one row per input row: the id, ``text_key`` (hash of the text), ``n_shingles``, ``component_id``
-    (the least id of the group) and ``kept``. A NULL, empty or blank text has an empty set and links with
-    nothing; a row whose id is NULL takes part, but lends no name to its group and is kept; repeated
-    rows are in one group and have equal results; an empty table gives an empty result; further
-    columns are ignored.
     """
     df = pick(df, id=id_column, text=text_column)
     rows = written(describe(df), "minhash-rows")
@@ -325,7 +321,19 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
         labels = written(components(nodes, links, "minhash"), "minhash-components")
 
     grouped = rows.select("id", "text_key", "node", "n_shingles").join(labels, "node", "left")
-    grouped = grouped.withColumn("component", F.coalesce("component", "node"))
+    return grouped.select("id", "text_key", "n_shingles", F.coalesce("component", "node").alias("component"))
+
+
+def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Groups of near-duplicates (see groups) by the least id of each.
+
+    Returns one row per input row: the id, ``text_key`` (hash of the text), ``n_shingles``, ``component_id``
+    (the least id of the group) and ``kept``. A NULL, empty or blank text has an empty set and links with
+    nothing; a row whose id is NULL takes part, but lends no name to its group and is kept; repeated
+    rows are in one group and have equal results; an empty table gives an empty result; further
+    columns are ignored.
+    """
+    grouped = groups(df, id_column, text_column)
     names = grouped.filter("component is not null").groupBy("component").agg(F.min("id").alias("name"))
     named = grouped.join(names, "component", "left").withColumn("component_id", F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("name")))
     return named.select(
@@ -337,19 +345,24 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str) -> DataFram
 def one_of_each_group(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``df`` with one document of each group of near-duplicates; all its columns stay.
 
-    Repeated rows (equal id and text) are reduced to one of them.
+    A group's document is that of its least id, or if all are NULL or the id repeats, of these the
+    one with the least text hash. Texts that are not linked stay, also under the same id.
+    Repeated rows (equal id and text, also if NULL) are reduced to one of them.
     """
-    found = written(near_duplicates(df, id_column, text_column), "minhash-found")
+    found = written(groups(df, id_column, text_column), "minhash-found")
+    order = F.struct(F.col("id").isNull().alias("nameless"), "id", "text_key")
+    chosen = found.filter("component is not null").groupBy("component").agg(F.min(order).alias("chosen"))
+    judged = found.join(chosen, "component", "left").withColumn("kept", F.col("component").isNull() | (F.col("id").eqNullSafe(F.col("chosen.id")) & (F.col("text_key") == F.col("chosen.text_key"))))
+    judged = written(judged.select("id", "text_key", "kept"), "minhash-judged")
     named = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     at, text_at = (f"_c{df.columns.index(c)}" for c in (id_column, text_column))
-    dropped = written(found.filter("not kept").select(F.col(id_column).alias("gone"), F.col("text_key").alias("gone_key")).distinct(), "minhash-dropped")
-    key = F.xxhash64(text_at)
-    out = named.join(small_side(dropped), named[at].eqNullSafe(F.col("gone")) & (key == F.col("gone_key")), "left_anti")
-    repeated = found.filter(f"kept and {id_column} is not null").groupBy(id_column).count().filter("count > 1")
+    dropped = written(judged.filter("not kept").select(F.col("id").alias("gone"), F.col("text_key").alias("gone_key")).distinct(), "minhash-dropped")
+    named = named.withColumn("text_key", F.xxhash64(text_at))
+    out = named.join(small_side(dropped), named[at].eqNullSafe(F.col("gone")) & (F.col("text_key") == F.col("gone_key")), "left_anti")
+    repeated = judged.filter("kept").groupBy("id", "text_key").count().filter("count > 1")
     if not repeated.isEmpty():
-        once = out.filter(F.col(at).isNotNull()).dropDuplicates([at])
-        out = once.unionByName(out.filter(F.col(at).isNull()))
-    return out.toDF(*df.columns)
+        out = out.dropDuplicates([at, "text_key"])
+    return out.drop("text_key").toDF(*df.columns)
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

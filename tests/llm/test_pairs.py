@@ -95,6 +95,16 @@ def test_one_of_each_group_stays(clashing):
     assert ids == sorted(["1", "2", "3", "4", "6", "None", "None", "8", "9", "10", "11"])
 
 
+def test_one_of_each_group_whatever_the_ids(spark):
+    """Unlinked texts under one id all stay; of a group with NULL or equal ids one document does."""
+    one, other, third = (" ".join(f"{w}{k}" for k in range(60)) for w in "abc")
+    rows = [(1, one), (1, other), (1, one), (None, third), (None, third + " end"), (None, third), (None, None), (None, None), (2, ""), (2, "")]
+    rows += [(7, "x " + one.replace("a", "d")), (7, one.replace("a", "d"))]
+    kept = [tuple(r) for r in mh.one_of_each_group(spark.createDataFrame(rows, TEXT_SCHEMA), "doc_id", "text").collect()]
+    assert sorted((str(i), str(t)[:1]) for i, t in kept if i != 7) == [("1", "a"), ("1", "b"), ("2", ""), ("None", "N"), ("None", "c")]
+    assert sum(i == 7 for i, _ in kept) == 1
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 199), (1, 0)]
     nodes = sorted({x for e in edges for x in e} | {500})
