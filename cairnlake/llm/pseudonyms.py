@@ -97,6 +97,58 @@ def card(text: str, key: bytes, back: bool = False) -> str | None:
     return _refill(text, issuer + body + luhn_digit(issuer + body))
 
 
+_GROUP = re.compile(r"\d+")
+#: Groups of digits in which cards of several groups are written.
+_SHAPES = ([4, 4, 4, 4], [4, 6, 5], [4, 6, 4])
+
+
+def cards(run: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Places of the cards in a run of digit groups, and of the candidates that were tried before and failed.
+
+    Candidates begin and end at borders of groups and have 13 to 19 digits. First come single
+    groups, then the usual shapes, the whole run, and all others from the left, longest first.
+    """
+    groups = [m.span() for m in _GROUP.finditer(run)]
+    candidates = []
+    for i in range(len(groups)):
+        n = 0
+        for j in range(i, len(groups)):
+            n += groups[j][1] - groups[j][0]
+            if n > 19:
+                break
+            if n >= 13:
+                a, b = groups[i][0], groups[j][1]
+                usual = [y - x for x, y in groups[i : j + 1]] in _SHAPES and len(set(_GROUP.sub("", run[a:b]))) == 1
+                rank = 0 if i == j else 1 if usual else 2 if (a, b) == (0, len(run)) else 3
+                candidates.append((rank, a, -b))
+    good: list[tuple[int, int]] = []
+    failed = []
+    for _, a, b in sorted(candidates):
+        b = -b
+        if any(x < b and a < y for x, y in good):
+            continue
+        digits = _digits(run[a:b])
+        (good if luhn_digit(digits[:-1]) == digits[-1] else failed).append((a, b))
+    return sorted(good), failed
+
+
+def card_run(run: str, key: bytes, back: bool = False) -> list[tuple[int, int, str]]:
+    """Cards of a run of digit groups with their pseudonyms.
+
+    A pseudonym next to which a failed candidate would turn valid is permuted on, so that the cards
+    of the new run are at the same places and the way back, in the opposite order, finds them.
+    """
+    good, failed = cards(run)
+    for a, b in reversed(good) if back else good:
+        near = [(x, y) for x, y in failed if x < b and a < y]
+        while True:
+            run = run[:a] + card(run[a:b], key, back) + run[b:]
+            near_digits = [_digits(run[x:y]) for x, y in near]
+            if all(luhn_digit(d[:-1]) != d[-1] for d in near_digits):
+                break
+    return [(a, b, run[a:b]) for a, b in good]
+
+
 def phone(text: str, key: bytes, back: bool = False) -> str | None:
     """Ten digits, area and exchange not from 0 or 1; a leading 1 stays."""
     digits = _digits(text)
@@ -193,7 +245,7 @@ KINDS: tuple[tuple[str, str, re.Pattern, Callable], ...] = tuple(
         ("email", "@", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", email),
         ("secret", "AKIA", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])", secret),
         ("secret", "=", r"(?i:\b(?:password|passwd|token|secret|api_?key))\s*=\s*[\"']?[A-Za-z0-9+/_-]{8,}", secret),
-        ("card", "", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)", card),
+        ("card", "", r"(?<![\w.+-])\d(?:[ -]?\d){12,}(?![\w-]|\.\d)", card_run),
         ("phone", "", r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])", phone),
         ("ssn", "-", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", ssn),
         ("ipv4", ".", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", ipv4),
@@ -218,6 +270,13 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[t
             numbers = _TWO_DIGITS.search(text) is not None if numbers is None else numbers
             if not numbers:
                 continue
+        if fn is card_run:
+            # Runs of digits end where a value of an earlier kind begins.
+            borders = [0, *(x for a, b, _, _ in sorted(spans) for x in (a, b)), len(text)]
+            for start, end in zip(borders[::2], borders[1::2]):
+                for m in pattern.finditer(text, start, end):
+                    spans += [(m.start() + a, m.start() + b, kind, new) for a, b, new in card_run(m[0], key, back)]
+            continue
         for m in pattern.finditer(text):
             if any(a < m.end() and m.start() < b for a, b, _, _ in spans):
                 continue
@@ -239,7 +298,8 @@ def pseudonymise_column(df: DataFrame, text_column: str, key: bytes = DEFAULT_KE
 
     Validated numbers (cards, phones, social security numbers, addresses of machines) and dates,
     and besides them mail names and secrets, are permuted within their format, so equal values
-    stay equal in all documents however they are spaced, and with the key ``back`` restores them.
+    stay equal in all documents however they are spaced, and with the key ``back`` restores them
+    (a card among further digits may have another pseudonym if that is needed for the way back).
     Work is by row: no shuffle. spans: also ``pii_spans``, an array of (start, end, kind) in the given
     text, which replaces a column of that name.
 

@@ -59,6 +59,31 @@ def test_values_keep_their_format(kind, value):
     assert pn.pseudonymise(text, b"another key")[0] != new
 
 
+@pytest.mark.parametrize("text", ["{} 12/25", "{} 123", "2 {}", "12 25 99 {} 7", "{} {}", "{}, 12 {} 12.50", "1234 {} 5678 90", "{} 23@example.com"])
+def test_cards_next_to_other_numbers(text):
+    for value in ["4111 1111 1111 1111", "4111-1111-1111-1111", *VALUES["card"]]:
+        full = f"pay {text.replace('{}', value)} now"
+        for key in (KEY, b"second", b"third"):
+            new, spans = pn.pseudonymise(full, key)
+            assert value not in new and [k for *_, k in spans].count("card") >= text.count("{}") and len(new) == len(full)
+            assert pn.pseudonymise(new, key)[1] == spans and pn.pseudonymise(new, key, back=True)[0] == full
+
+
+@given(st.lists(st.tuples(st.integers(0, 10**7), st.sampled_from([" ", "-"])), min_size=3, max_size=40))
+@settings(max_examples=100, deadline=None)
+def test_runs_of_digits_go_back(groups):
+    run = "".join(f"{n}{sep}" for n, sep in groups)[:-1]
+    good, _ = pn.cards(run)
+    new = run
+    for a, b, digits_of in pn.card_run(run, KEY):
+        new = new[:a] + digits_of + new[b:]
+    assert pn.cards(new)[0] == good
+    old = new
+    for a, b, digits_of in pn.card_run(new, KEY, back=True):
+        old = old[:a] + digits_of + old[b:]
+    assert old == run
+
+
 def test_spacing_does_not_part_equal_values():
     for kind in ("card", "phone", "date"):
         new = {tuple(sorted(digits(pn.pseudonymise(v, KEY)[0])[-10:])) for v in VALUES[kind][:3]}
