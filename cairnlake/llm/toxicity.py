@@ -257,7 +257,8 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rows_per_label: int = RO
     """A bounded training sample (``text``, ``toxic``) and the counts of all labelled rows by label.
 
     docs: ``id``, ``text``; labels: ``id``, ``toxic``. The labelled ids with the smallest hashes are
-    picked before any text is touched; a text travels only if it is picked.
+    picked before any text is touched; a text travels only if it is picked. Of an id that repeats
+    the row with the least text hash is taken.
     """
     labels = labels.filter("id is not null and toxic in (0, 1)").dropDuplicates(["id"])
     counts = labels.groupBy("toxic").count()
@@ -265,8 +266,10 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rows_per_label: int = RO
     for value in (0, 1):
         some = labels.filter(F.col("toxic") == value).orderBy(F.xxhash64("id"), "id").limit(rows_per_label)
         picked = some if picked is None else picked.unionByName(some)
-    # rows_per_label bounds this side.
-    return docs.join(F.broadcast(picked), "id").select("id", "text", "toxic"), counts
+    # rows_per_label bounds this side, and by one row an id the sample.
+    keyed = docs.select("id", "text", F.xxhash64("text").alias("k"))
+    once = keyed.join(F.broadcast(picked), "id").groupBy("id", "toxic").agg(F.min("k").alias("k"))
+    return keyed.join(F.broadcast(once), ["id", "k"]).dropDuplicates(["id", "k"]).select("id", "text", "toxic"), counts
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:

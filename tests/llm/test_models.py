@@ -195,3 +195,12 @@ def test_split_words_like_python():
 
 def tox_fold(text):
     return zlib.crc32(text.encode()) % 5
+
+
+def test_toxicity_sample_has_one_row_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k % 7}") for k in range(300)] + [(2, "other"), (3, None), (3, None)], "id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "id long, toxic int")
+    rows, _ = tox.sample_labelled(docs, labels, 2)
+    got = rows.collect()
+    assert sorted((r.id, r.toxic) for r in got) == [(1, 1), (2, 0), (3, 0)]
+    assert {r.text for r in got if r.id == 1} == {min((f"text {k}" for k in range(7)), key=lambda t: spark.sql(f"select xxhash64('{t}')").first()[0])}
