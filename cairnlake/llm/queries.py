@@ -15,7 +15,9 @@ from cairnlake.llm.pseudonyms import op7_pii
 from cairnlake.llm.token_counts import op1_token_counts
 from cairnlake.llm.toxicity import op5_toxicity
 from cairnlake.llm.url_filter import op9_url_filter
+from cairnlake.llm.vector_codes import OP13_SQL, op13_vector_codes
 from cairnlake.llm.vector_links import OP10_SQL, op10_vector_links
+from cairnlake.llm.vector_search import OP12_SQL, op12_vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
@@ -28,9 +30,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_vector_links": op10_vector_links,
+    "op12_vector_search": op12_vector_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op4_minhash": OP4_SQL,
     "op10_vector_links": OP10_SQL,
+    "op12_vector_search": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
