@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairnlake.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from cairnlake.llm.decontamination import op8_decontamination
 from cairnlake.llm.language_id import op6_language_id
 from cairnlake.llm.markov_model import op2_markov_score
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_vector_links": op10_vector_links,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_vector_search": op12_vector_search,
     "op13_vector_codes": op13_vector_codes,
 }
@@ -37,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op4_minhash": OP4_SQL,
     "op10_vector_links": OP10_SQL,
+    "op11_conversation_trie": OP11_SQL,
     "op12_vector_search": OP12_SQL,
     "op13_vector_codes": OP13_SQL,
 }
