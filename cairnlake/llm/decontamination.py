@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnlake.llm.common import pick, small_side, table, written
-from cairnlake.llm.words import split_words
+from cairnlake.llm.memo import held
+from cairnlake.llm.words import slices, split_words
 
 #: Tokens of a template window; an item of at least SHORTEST tokens but fewer than this is one window.
 WINDOW, SHORTEST = 8, 4
@@ -29,8 +30,7 @@ NUMBER = re.compile(r"[+-]?(?:\d[\d.,]*|\.\d+)(?:e[+-]?\d+)?%?|\d+/\d+")
 #: Bits of either half of the filter; its size is fixed whatever the benchmark's.
 FILTER_BITS = 22
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_MEMO: dict[bytes, tuple[int, int]] = {}
-_MEMO_ENTRIES = 400_000
+_MEMO_ENTRIES = 150_000
 # What a word is on its own; sentence ends and neighbours decide the rest.
 _DROPPED, _ENDS, _NUMBER, _CAPITAL, _UNIT = 1, 2, 4, 8, 16
 
@@ -71,15 +71,16 @@ def _kind(word: bytes) -> tuple[int, int]:
 class Templates:
     """Canonical tokens of many texts: ``hashes``, whether a ``slot``, the word's number, and text sizes."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None] | pa.Array):
         self.words, codes, sizes = split_words(texts, lower=False)
-        if len(_MEMO) > _MEMO_ENTRIES:
-            _MEMO.clear()
+        memo: dict[bytes, tuple[int, int]] = held("templates", dict)
+        if len(memo) > _MEMO_ENTRIES:
+            memo.clear()
         for w in self.words:
-            if w not in _MEMO:
-                _MEMO[w] = _kind(w)
-        literal = np.array([_MEMO[w][0] for w in self.words], np.uint64)
-        flags = np.array([_MEMO[w][1] for w in self.words], np.int64)[codes]
+            if w not in memo:
+                memo[w] = _kind(w)
+        literal = np.array([memo[w][0] for w in self.words], np.uint64)
+        flags = np.array([memo[w][1] for w in self.words], np.int64)[codes]
         owner = np.repeat(np.arange(len(texts)), sizes)
         first = np.ones(len(codes), bool)
         first[1:] = (owner[1:] != owner[:-1]) | (flags[:-1] & _ENDS > 0)
@@ -204,8 +205,8 @@ def find_items(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high, low = (np.unpackbits(x).view(bool) for x in sent.value)
-        for batch in batches:
-            t = Templates(batch.column("text").to_pylist())
+        for batch in slices(batches):
+            t = Templates(batch.column("text"))
             for length, literal in lengths:
                 text, place, hashes = t.windows(length, False, literal)
                 hit = high[hashes >> np.uint64(64 - FILTER_BITS)]

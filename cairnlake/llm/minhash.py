@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cairnlake.llm.common import components, pick, small_side, table, written
 from cairnlake.llm.markov_model import word_hash
-from cairnlake.llm.words import split_words
+from cairnlake.llm.words import slices, split_words
 
 SHINGLE = 5
 #: Link from 100 * intersection >= PERCENT * union on.
@@ -30,7 +30,7 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 4096
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None] | pa.Array) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's shingles; a text of fewer words is one shingle."""
     words, codes, sizes = split_words(texts)
     hashes = np.array([word_hash(w) for w in words], np.int64).view(np.uint64)[codes] if words else np.empty(0, np.uint64)
@@ -88,8 +88,8 @@ def describe(df: DataFrame) -> DataFrame:
     kind = df.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist())
+        for batch in slices(batches):
+            sets = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_key"), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary())],
                 names=["id", "text_key", "node", "n_shingles", "sig"],
@@ -253,8 +253,8 @@ def sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
     chosen = texts.join(small_side(wanted), on).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist())
+        for batch in slices(batches):
+            sets = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     return chosen.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairnlake.llm.common import pick, table
 from cairnlake.llm.vocabulary import open_vocabulary, tokenizer_path
+from cairnlake.llm.words import slices
 
 WINDOW = 2048
 END_ID = 1
@@ -145,10 +146,10 @@ def pack(
             columns = list(zip(*packer.taken())) or [()] * 7
             return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["id", *FIELDS])
 
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch.schema.field("id").type
             keys = batch.column("id").to_pylist()
-            ids, offsets = vocabulary.encode_all(batch.column("text").to_pylist())
+            ids, offsets = vocabulary.encode_all(batch.column("text"))
             end = np.array([end_id], "<u4")
             for key, a, b in zip(keys, offsets[:-1], offsets[1:]):
                 packer.add(key, np.concatenate((ids[a:b], end)))

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from cairnlake.llm.common import pick, table
+from cairnlake.llm.words import slices
 
 #: A stand-in. Whoever has the key can undo the pseudonyms, so a real one comes from outside.
 DEFAULT_KEY = b"replace this key"
@@ -313,7 +314,7 @@ def pseudonymise_column(df: DataFrame, text_column: str, key: bytes = DEFAULT_KE
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, places = [], []
             for text in batch.column(at).to_pylist():
                 new, where = (None, []) if text is None else pseudonymise(text, key, back)

@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from cairnlake.llm.common import pick, table
 from cairnlake.llm.vocabulary import Vocabulary, open_vocabulary, tokenizer_path
+from cairnlake.llm.words import slices
 
 #: Texts of more characters than this are encoded in chunks.
 CHUNK_CHARS = 32_768
@@ -92,17 +94,17 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = open_vocabulary(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            n_bytes = [len(t.encode()) for t in texts]
-            huge = [len(t) > chunk_chars for t in texts]
-            n_tokens = np.diff(vocabulary.encode_all(["" if h else t for t, h in zip(texts, huge)])[1]).tolist()
-            n_chunks = [int(t != "") for t in texts]
-            n_widened = [0] * len(texts)
-            for i in np.flatnonzero(huge):
-                n_tokens[i], n_chunks[i], n_widened[i] = spliced_count(vocabulary, texts[i], chunk_chars, overlap_chars)
+        for batch in slices(batches):
+            texts = pc.fill_null(batch.column("text"), "")
+            n_bytes = pc.binary_length(texts).cast(pa.int64())
+            huge = pc.greater(pc.utf8_length(texts), chunk_chars)
+            n_tokens = np.diff(vocabulary.encode_all(pc.if_else(huge, "", texts))[1])
+            n_chunks = (n_bytes.to_numpy() > 0).astype(np.int64)
+            n_widened = np.zeros(len(texts), np.int64)
+            for i in np.flatnonzero(huge.to_numpy(zero_copy_only=False)):
+                n_tokens[i], n_chunks[i], n_widened[i] = spliced_count(vocabulary, texts[int(i)].as_py(), chunk_chars, overlap_chars)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_()), pa.array(n_chunks, pa.int64()), pa.array(n_widened, pa.int64())],
+                [batch.column("id"), n_bytes, pa.array(n_tokens, pa.int64()), pa.array(n_tokens > limit), pa.array(n_chunks), pa.array(n_widened)],
                 names=["id", "n_bytes", "n_tokens", "over_limit", "n_chunks", "n_widened"],
             )
 

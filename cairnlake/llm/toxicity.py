@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnlake.llm.common import fold, pick, table
-from cairnlake.llm.words import split_words
+from cairnlake.llm.words import slices, split_words
 
 #: Words of a window, and by how much the next one starts later.
 WINDOW, STRIDE = 32, 16
@@ -282,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     return train(sample["text"].fillna("").tolist(), sample["toxic"].astype(int).tolist(), totals[1] / (totals[0] + totals[1]))
 
 
-def text_scores(net: Network | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def text_scores(net: Network | None, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Score and number of windows of each text."""
     scores, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     if net is not None:
@@ -309,8 +309,8 @@ def score_toxicity(df: DataFrame, id_column: str, text_column: str, net: Network
     schema = f"id {rows.schema['id'].dataType.simpleString()}{kept}, score double, predicted int, n_windows long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores, count = text_scores(net, batch.column("text").to_pylist())
+        for batch in slices(batches):
+            scores, count = text_scores(net, batch.column("text"))
             columns = {"id": batch.column("id")} | {f"kept_{k}": batch.column(f"kept_{k}") for k in keep}
             columns |= {"score": pa.array(scores), "predicted": pa.array((scores >= PREDICT_FROM).astype(np.int32)), "n_windows": pa.array(count)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -325,8 +325,8 @@ def without_toxic(df: DataFrame, text_column: str, net: Network | None, least: f
     named = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores, _ = text_scores(net, batch.column(at).to_pylist())
+        for batch in slices(batches):
+            scores, _ = text_scores(net, batch.column(at))
             yield batch.filter(pa.array(scores < least))
 
     return named.mapInArrow(run, named.schema).toDF(*df.columns)
