@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 
 # The characters that match "\s", as SQL string literals.
@@ -78,3 +78,19 @@ def audit_counts(df: DataFrame, required: Sequence[str], key: Sequence[str]) ->
         F.count(F.when(complete, 1)).alias("rows_with_keys"),
         F.count_distinct(F.when(complete, F.struct(*key))).alias("rows_deduplicated"),
     )
+
+
+class AuditTrail:
+    """Row counts of the steps of one load, taken by the job that runs it: no second pass, no further job."""
+
+    def __init__(self) -> None:
+        self._steps: dict[str, Observation] = {}
+
+    def mark(self, df: DataFrame, step: str) -> DataFrame:
+        """``df``, whose rows count as those of ``step`` when an action runs."""
+        self._steps[step] = Observation(step)
+        return df.observe(self._steps[step], F.count(F.lit(1)).alias("n_rows"))
+
+    def counts(self) -> dict[str, int]:
+        """Rows of every step; waits for the first action on the marked rows."""
+        return {step: seen.get["n_rows"] for step, seen in self._steps.items()}

@@ -221,7 +221,9 @@ def upsert_table(
             same = [target[k].eqNullSafe(F.col(f"_{k}")) if null_keys == "match" else target[k] == F.col(f"_{k}") for k in keys]
             met = target.join(mine, reduce(lambda a, b: a & b, same))
             present = present.union(met.select(partition, ~F.col(partition).eqNullSafe(F.col("_to"))))
-        values = present.groupBy("value").agg(F.max("left").alias("left")).limit(STATIC_PARTITIONS + 1).collect()
+        # Spark, not Python, names a value's folder: true is not True there.
+        named_values = present.groupBy("value", F.col("value").cast("string").alias("name")).agg(F.max("left").alias("left"))
+        values = named_values.limit(STATIC_PARTITIONS + 1).collect()
         touched = [r.value for r in values]
         if len(touched) <= STATIC_PARTITIONS:
             named = F.col(partition).isin([v for v in touched if v is not None])
@@ -235,7 +237,7 @@ def upsert_table(
         state = upsert(affected, source, keys, changed, guard, null_keys, unique)
         # With more partitions than are fetched, any of them may have lost its rows.
         few = len(touched) <= STATIC_PARTITIONS
-        left = [r.value for r in values if r.left] if few else [r.value for r in present.filter("left").select("value").distinct().collect()]
+        left = [r.name for r in values if r.left] if few else [r.name for r in named_values.filter("left").select("name").distinct().collect()]
         replace_partitions(state.hint("rebalance", partition), path, partition, left)
     finally:
         source.unpersist()
@@ -255,23 +257,23 @@ def overwrite_partitions(df: DataFrame, path: str, *partition: str) -> None:
     writer.partitionBy(*partition).parquet(path)
 
 
-def _partition_folder(partition: str, value) -> str:
-    """The folder name of a partition value, with the characters escaped that file systems reserve."""
-    if value is None:
+def _partition_folder(partition: str, name: str | None) -> str:
+    """The folder of a partition value given as text, with the characters escaped that file systems reserve."""
+    if name is None:
         return f"{partition}=__HIVE_DEFAULT_PARTITION__"
-    escaped = "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in str(value))
+    escaped = "".join(f"%{ord(c):02X}" if ord(c) < 32 or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in name)
     return f"{partition}={escaped}"
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, left: Sequence) -> None:
-    """``overwrite_partitions``, and partitions in ``left`` that ``df`` has no row for become empty.
+def replace_partitions(df: DataFrame, path: str, partition: str, left: Sequence[str | None]) -> None:
+    """``overwrite_partitions``, and partitions in ``left`` (values as text) that ``df`` has no row for become empty.
 
     An overwrite leaves alone what it has no rows for. So these are written once more, as a
     file without rows, after the rows have reached their new place. ``left`` names the few
     partitions that rows have left.
     """
     if left:
-        staying = {r[0] for r in df.select(partition).distinct().collect()}
+        staying = {r[0] for r in df.select(F.col(partition).cast("string")).distinct().collect()}
         left = [v for v in left if v not in staying]
     bare = df.sparkSession.createDataFrame([], df.drop(partition).schema)
     overwrite_partitions(df, path, partition)

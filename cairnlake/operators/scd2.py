@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -83,11 +84,19 @@ def merge_versions(
 
 
 def touched_versions(
-    target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], effective_from: Column | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    effective_from: Column | None = None,
+    delivered: Sequence[date] = (),
 ) -> DataFrame:
     """The given versions after one batch. Versions closed on another day than the batch's may be left out.
 
-    A key met twice in the source fails the job.
+    A key met twice in the source fails the job. ``delivered`` lists the days for which the source is
+    the whole delivery: an open version that began on one of them, and whose key the source lacks,
+    came from an earlier delivery of the same batch. It is withdrawn, and the version before it is
+    open again.
     """
     start = batch_start() if effective_from is None else effective_from
     payload = [c for c in source.columns if c != key]
@@ -114,12 +123,17 @@ def touched_versions(
         )
 
     in_place = version(new, old["valid_from"], F.lit(None).cast("date"), True)
+    reopened = version(old, old["valid_from"], F.lit(None).cast("date"), True)
+    nothing = F.array().cast(f"array<{both.schema['_old'].dataType.simpleString()}>")
+    withdrawn = new.isNull() & F.coalesce(F.col("_open").isin(*delivered), F.lit(False)) if delivered else F.lit(False)
     outcome = (
         F.when(old.isNull(), F.array(new))
+        .when(withdrawn & old["is_current"], nothing)
+        .when(withdrawn & (old["valid_to"] == F.col("_open")), F.array(reopened))
         .when(new.isNull() | late, F.array(old))
         .when(F.col("_returns"), F.array(in_place))
         .when(~old["is_current"], F.array(old))
-        .when(F.col("_returned"), F.array().cast(f"array<{both.schema['_old'].dataType.simpleString()}>"))
+        .when(F.col("_returned"), nothing)
         .when((new["row_hash"] == old["row_hash"]) | again, F.array(in_place))
         .otherwise(F.array(version(old, old["valid_from"], new["valid_from"], False), new))
     )
@@ -139,20 +153,22 @@ def merge_stored(
     Only the open versions and those closed on a day the batch takes effect on are read. One
     dynamic overwrite replaces these partitions, so a batch costs as much as the current
     customers, not as their history; a batch delivered again, changed or not, leaves the
-    versions that applying only its last delivery would have left (untracked values that the
-    earlier delivery overwrote in a version now closed are not brought back). The effective
-    days are few: one for each month a delivery holds.
+    versions that applying only its last delivery would have left, also for keys that the last
+    delivery lacks (untracked values that the earlier delivery overwrote in a version of an earlier
+    batch are not brought back). The source is the whole delivery of each day it takes effect on;
+    these days are few: one for each month a delivery holds. Rows without key are not versioned.
     """
     start = batch_start() if effective_from is None else effective_from
+    source = source.filter(F.col(key).isNotNull())
     target = stored(source.sparkSession, path, open_versions(source, tracked, start).schema)
     if target is None:
-        store_history(open_versions(require_unambiguous(source, [key]), tracked, start), path)
+        store_history(open_versions(require_unambiguous(source, [key], null_keys=False), tracked, start), path)
         return
     days = [r[0] for r in source.select(start.alias("day")).distinct().collect() if r[0] is not None]
     affected = target.filter(F.col("valid_to").isNull() | F.col("valid_to").isin(days))
-    state = touched_versions(affected, source, key, tracked, effective_from)
+    state = touched_versions(affected, source, key, tracked, effective_from, days)
     # Only a repeated delivery finds versions closed on its day, and may open the last of them again.
-    closed = [r[0] for r in affected.filter("valid_to IS NOT NULL").select("valid_to").distinct().collect()]
+    closed = [r[0] for r in affected.filter("valid_to IS NOT NULL").select(F.col("valid_to").cast("string")).distinct().collect()]
     replace_partitions(state.hint("rebalance", "valid_to"), path, "valid_to", closed)
 
 

@@ -50,30 +50,39 @@ def prepared(bronze: DataFrame, feed: Feed) -> DataFrame:
     return df.withColumns({name: make() for name, make in feed.derive.items()}) if feed.derive else df
 
 
-def conform(bronze: DataFrame, feed: Feed | str) -> DataFrame:
+def conform(bronze: DataFrame, feed: Feed | str, trail: clean.AuditTrail | None = None) -> DataFrame:
     """Silver state of all given batches: one row per business key, the latest batch winning.
 
     On a single batch this is the source of the upsert; on the whole bronze table it
-    is what loading every batch in order would have left.
+    is what loading every batch in order would have left. ``trail`` gets the rows delivered, with
+    their required keys, and kept; the scan then sees all rows, as they have to be counted.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    df = prepared(bronze, feed)
+    df = _audited(bronze, feed, trail)
     if feed.repeat_flag:
         # Twins are looked for inside one batch, so the flag does not depend on how many are loaded at once.
         df = dedup.flag_repeated(df, [*feed.repeat_group, "batch_id"], feed.key[0], feed.repeat_flag, present="product_sku")
     latest = merge.fold_batches(
         df, feed.key, _recency(df), feed.keep_first, null_keys=not set(feed.key) <= set(feed.required)
     )
-    return _flagged(latest.drop("_loaded_at"), feed)
+    kept = _flagged(latest.drop("_loaded_at"), feed)
+    return kept if trail is None else trail.mark(kept, "kept")
 
 
-def customer_batches(bronze: DataFrame, feed: Feed | str = "cust_master") -> DataFrame:
-    """One row per customer and batch: the latest created date, then payment terms, wins."""
+def _audited(bronze: DataFrame, feed: Feed, trail: clean.AuditTrail | None) -> DataFrame:
+    if trail is None:
+        return prepared(bronze, feed)
+    return trail.mark(prepared(trail.mark(bronze, "delivered"), feed), "with_keys")
+
+
+def customer_batches(bronze: DataFrame, feed: Feed | str = "cust_master", trail: clean.AuditTrail | None = None) -> DataFrame:
+    """One row per customer and batch: the latest created date, then payment terms, wins. ``trail``: see ``conform``."""
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    df = prepared(bronze, feed).dropna(subset=list(feed.key))
+    df = _audited(bronze, feed, trail).dropna(subset=list(feed.key))
     order = [F.col("customer_created_date").desc(), F.col("customer_payment_terms").asc()]
     keys = [*feed.key, "batch_id"]
-    return dedup.latest_per_key(df, keys, dedup.total_order(df, order, skip=keys))
+    latest = dedup.latest_per_key(df, keys, dedup.total_order(df, order, skip=keys))
+    return latest if trail is None else trail.mark(latest, "kept")
 
 
 def customer_history(bronze: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
+from pathlib import Path
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from cairnlake.operators import merge
+from cairnlake.operators import keyed, merge
 from cairnlake.plans.silver import conform, load_batch
 from cairnlake.sources.feeds import FEEDS
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from verification import registry
 
 SCHEMA = "k string, v int, first int, batch_id string"
@@ -213,3 +215,83 @@ def test_two_loads_equal_the_whole(spark, name):
     both = load_batch(early, bronze.filter(F.col("batch_id") >= middle), name)
     whole = conform(bronze, name)
     assert rows(both.select(*whole.columns)) == rows(whole)
+
+
+# --- stored tables whose rows keep their partition ------------------------------------------------
+
+
+KEYED = "id string, value int, parent string, batch_id string"
+
+
+def keyed_rows(spark, path):
+    stored = keyed.read(spark, path, T.StructType.fromDDL(KEYED))
+    return sorted(map(tuple, stored.collect()), key=repr)
+
+
+def load(spark, path, data, **layout):
+    return keyed.upsert_keyed(path, spark.createDataFrame(data, KEYED), ["id"], ["value", "parent", "batch_id"], carried=["parent"], **layout)
+
+
+def files(path):
+    return {str(p): p.stat().st_mtime_ns for p in Path(path).rglob("part-*")}
+
+
+def test_rows_stay_where_they_came_and_untouched_batches_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load(spark, path, [("a", 1, "p", "01"), ("b", 1, "p", "01")], batch="01", guard="batch_id")
+    load(spark, path, [("c", 2, "p", "02")], batch="02", guard="batch_id")
+    before = files(path)
+    changes = load(spark, path, [("c", 3, "q", "03"), ("d", 3, None, "03")], batch="03", guard="batch_id")
+    assert keyed_rows(spark, path) == [("a", 1, "p", "01", "01"), ("b", 1, "p", "01", "01"), ("c", 3, "q", "03", "02"), ("d", 3, None, "03", "03")]
+    after = files(path)
+    assert {f for f in before if "_place=01" in f} == {f for f in after if "_place=01" in f}
+    assert all(after[f] == before[f] for f in before if "_place=01" in f)
+    assert sorted(map(tuple, changes.select("id", "_old_parent", "_new_parent").collect())) == [("c", "p", "q"), ("d", None, None)]
+    assert sorted(r[0] for r in keyed.touched(changes, "parent").collect()) == ["p", "q"]
+
+
+def test_an_older_batch_changes_nothing_and_rows_without_key_come_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load(spark, path, [("a", 2, "p", "02"), (None, 1, "x", "02"), (None, 2, "y", "02")], batch="02", guard="batch_id", unique=True)
+    load(spark, path, [("a", 1, "q", "01")], batch="01", guard="batch_id")
+    for again in ([(None, 1, "x", "02")], [(None, 1, "x", "02"), ("a", 3, "p", "02")], []):
+        load(spark, path, again, batch="02", guard="batch_id", unique=True)
+    assert keyed_rows(spark, path) == [("a", 3, "p", "02", "02")]
+
+
+def test_buckets_replace_the_rows_of_an_entity(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [(f"{p}{i}", i, p, "01") for p in "pqr" for i in range(3)]
+    load(spark, path, first, buckets=["parent"])
+    who = spark.createDataFrame([("p",), ("r",)], "parent string")
+    load(spark, path, [("p1", 9, "p", "02"), ("p7", 7, "p", "02")], buckets=["parent"], replaces=("parent", who))
+    assert [r[:3] for r in keyed_rows(spark, path)] == [("p1", 9, "p"), ("p7", 7, "p"), ("q0", 0, "q"), ("q1", 1, "q"), ("q2", 2, "q")]
+
+
+def test_a_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load(spark, path, [(str(i), i, "p", "01") for i in range(50)], buckets=["id"])
+    seen = []
+    write = merge.replace_partitions
+    keyed.replace_partitions = lambda df, *rest: (seen.append(df), write(df, *rest))
+    try:
+        load(spark, path, [("3", 33, "q", "02")], buckets=["id"])
+    finally:
+        keyed.replace_partitions = write
+    text = plan(seen[0])
+    physical = text[text.index("Physical Plan"):]
+    assert "SortMergeJoin" not in physical and "BroadcastHashJoin" in physical
+    assert physical.count("Exchange hashpartitioning") <= 1  # the one that deals rows to partitions' files
+
+
+def test_two_rows_for_one_key_fail(spark, tmp_path):
+    with pytest.raises(Exception, match="several source rows share merge key"):
+        load(spark, str(tmp_path / "t"), [("a", 1, "p", "01"), ("a", 2, "p", "01")], batch="01")
+
+
+def test_differing_rows(spark):
+    old = spark.createDataFrame([("a", 1, "p", "01"), ("b", None, "p", "01"), (None, 1, "p", "01")], KEYED)
+    fresh = spark.createDataFrame([("a", 1, "p", "02"), ("b", 2, "p", "01"), ("c", 1, "p", "01"), (None, 1, "p", "01")], KEYED)
+    assert sorted(r.id for r in keyed.differing(fresh, old, ["id"], ["value"]).collect()) == ["b", "c"]
+    assert sorted(r.id for r in keyed.differing(fresh, old, ["id"]).collect()) == ["a", "b", "c"]
+    assert keyed.differing(fresh, None, ["id"]).count() == 4

@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from verification import (  # noqa: F401
+    batch_queries,
     check_queries,
     clean_queries,
     gold_queries,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.functions.keys import row_hash
-from cairnlake.operators import dedup, merge, scd2
+from cairnlake.operators import dedup, keyed, merge, scd2
 from cairnlake.plans.silver import customer_batches, customer_history, prepared
 from cairnlake.sources.feeds import FEEDS
 from verification.registry import CTES, Tables, query
@@ -122,6 +122,34 @@ def upsert_stored_moved_key(t: Tables) -> DataFrame:
     return _stored_by(t, "segment", F.col("segment"))
 
 
+@query(_replayed("abc", True))
+def upsert_stored_boolean_partition(t: Tables) -> DataFrame:
+    """Customers move between two partitions named by a truth value."""
+    return _stored_by(t, "urgent", F.col("segment") < "3").drop("urgent")
+
+
+def _keyed(t: Tables, order: str, **layout) -> DataFrame:
+    """The parts upserted one after the other into a table whose rows keep their partition."""
+    path = t.path("keyed")
+    for name in order:
+        rows = _part(t, name).drop(*merge.AUDIT_COLUMNS)
+        more = {"batch": name} if "guard" in layout else {}
+        keyed.upsert_keyed(path, rows, ["customer_id"], _UPDATED, at=F.to_date(F.lit(ARRIVED[name])), **more, **layout)
+    return merge.stored(t.spark, path, merge.with_audit(rows, F.to_date(F.lit(ARRIVED[name]))).schema)
+
+
+@query(_replayed("cab", True))
+def upsert_keyed_batches(t: Tables) -> DataFrame:
+    """Guarded, each customer in the partition of the delivery that brought it first."""
+    return _keyed(t, "cab", guard="batch_id")
+
+
+@query(_replayed("cab", False))
+def upsert_gold_stored(t: Tables) -> DataFrame:
+    """Unguarded, in hash buckets of the key: only the buckets of a delivery are read and rewritten."""
+    return _keyed(t, "cab", buckets=["customer_id"])
+
+
 @query(
     """SELECT campaign_id, campaign_sku, CASE WHEN CAST(campaign_id AS INT) < 15 THEN 'old' ELSE 'new' END AS origin
        FROM {s_campaign_sku}
@@ -209,6 +237,40 @@ def scd2_stored_corrected(t: Tables) -> DataFrame:
     return merge.stored(t.spark, path, old.schema)
 
 
+@query(replaced("s_cust_master", _VERSION_DATES))
+def scd2_stored_withdrawn(t: Tables) -> DataFrame:
+    """The last month first arrives with every customer in a wrong segment, then with those it should have held."""
+    path = t.path("versions")
+    months = customer_batches(t.bronze("cust_master"))
+    last = months.agg(F.max("batch_id")).first()[0]
+    old = scd2.history(months.filter(F.col("batch_id") < last), "customer_id", TRACKED)
+    scd2.store_history(old, path)
+    everyone = dedup.latest_per_key(months, ["customer_id"], [F.col("batch_id").desc()])
+    wrong = everyone.withColumns({"batch_id": F.lit(last), "customer_segment": F.lit("WRONG")})
+    for delivery in (wrong, months.filter(F.col("batch_id") == last)):
+        scd2.merge_stored(path, delivery, "customer_id", TRACKED)
+    return merge.stored(t.spark, path, old.schema)
+
+
+@query(replaced("s_cust_master", _VERSION_DATES))
+def scd2_stored_null_key(t: Tables) -> DataFrame:
+    """Every delivery also holds each customer once more without an id; none of these is versioned."""
+    path = t.path("versions")
+    months = customer_batches(t.bronze("cust_master"))
+    first, last = months.agg(F.min("batch_id"), F.max("batch_id")).first()
+    middle = scd2.history(months.filter((F.col("batch_id") > first) & (F.col("batch_id") < last)), "customer_id", TRACKED)
+    for batch in (first, last):
+        rows = months.filter(F.col("batch_id") == batch)
+        nameless = rows.withColumn("customer_id", F.lit(None).cast("string"))
+        scd2.merge_stored(path, rows.unionByName(nameless), "customer_id", TRACKED)
+        if batch == first:
+            known = merge.stored(t.spark, path, middle.schema).select(*months.columns)
+            both = scd2.history(months.filter(F.col("batch_id") < last), "customer_id", TRACKED)
+            assert known.filter("customer_id IS NULL").isEmpty()
+            both.write.mode("overwrite").partitionBy("valid_to").parquet(path)
+    return merge.stored(t.spark, path, middle.schema)
+
+
 @query(f"SELECT customer_id, batch_id, {ROW_HASH} AS row_hash FROM {{s_customer_batches}}", name="row_hash")
 def hash_of_tracked(t: Tables) -> DataFrame:
     return customer_batches(t.bronze("cust_master")).select("customer_id", "batch_id", row_hash(TRACKED).alias("row_hash"))
