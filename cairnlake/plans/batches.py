@@ -236,8 +236,10 @@ def _references(lake: Lake, batch: str, attempt: int, s: dict[str, DataFrame]) -
 def gold_step(lake: Lake, batch: str, attempt: int, names: Sequence[str]) -> dict[str, int]:
     """Gold rows that the batch's change sets lead to, upserted into the stored tables."""
     s = {name: lake.silver(name) for name in names}
-    products_new = _references(lake, batch, attempt, s)
-    since, terms = _customers(lake, batch, attempt, s)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        references = pool.submit(_references, lake, batch, attempt, s)
+        since, terms = _customers(lake, batch, attempt, s)
+        products_new = references.result()
     orders, invoices, payments, lines, shipments = (s[n] for n in ("sales_order", "invoice", "payment", "sales_order_lines", "shipment"))
 
     def order(df: DataFrame, column: str = "order_number") -> DataFrame:
@@ -272,17 +274,26 @@ def gold_step(lake: Lake, batch: str, attempt: int, names: Sequence[str]) -> dic
 
     stored_orders = lake.gold("fact_sales_order", fresh)
     products = lake.gold("dim_product", dimensions.dim_product(s["products"].limit(0), s["product_sub_categories"]))
-    ch = lake.changes(batch, "sales_order_lines")
-    line_ids = _any_of(
-        None if ch is None else ch.select("order_line_id"), _keyed(lines, by_id, "order_id").select("order_line_id"), _keyed(lines, products_new, "product_sku").select("order_line_id")
-    )
-    _upsert_gold(lake, "fact_sales_order_lines", facts.fact_sales_order_lines(_keyed(lines, line_ids, "order_line_id"), stored_orders, products), batch=batch)
 
-    ch = lake.changes(batch, "shipment")
-    shipped = _any_of(by_id, None if ch is None else keyed.touched(ch, "order_id"))
-    ids = _any_of(_keyed(shipments, shipped, "order_id").select("shipment_id"), None if ch is None else ch.select("shipment_id"))
-    moved = _keyed(shipments, ids, "shipment_id")
-    _upsert_gold(lake, "fact_shipment", facts.fact_shipment(moved, stored_orders, skew.hot_keys(moved, "order_id")), batch=batch)
+    def load_lines() -> None:
+        ch = lake.changes(batch, "sales_order_lines")
+        ids = _any_of(
+            None if ch is None else ch.select("order_line_id"), _keyed(lines, by_id, "order_id").select("order_line_id"), _keyed(lines, products_new, "product_sku").select("order_line_id")
+        )
+        some = _keyed(lines, ids, "order_line_id")
+        _upsert_gold(lake, "fact_sales_order_lines", facts.fact_sales_order_lines(some, stored_orders, products), batch=batch)
+
+    def load_shipments() -> None:
+        # An order's shipments are counted together, so all of them come along.
+        ch = lake.changes(batch, "shipment")
+        shipped = _any_of(by_id, None if ch is None else keyed.touched(ch, "order_id"))
+        ids = _any_of(_keyed(shipments, shipped, "order_id").select("shipment_id"), None if ch is None else ch.select("shipment_id"))
+        some = _keyed(shipments, ids, "shipment_id")
+        _upsert_gold(lake, "fact_shipment", facts.fact_shipment(some, stored_orders, skew.hot_keys(some, "order_id")), batch=batch)
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for loaded in [pool.submit(load_lines), pool.submit(load_shipments)]:
+            loaded.result()
     return {"orders": which.count()}
 
 

@@ -45,6 +45,38 @@ def net_value(quantity: str, price: str, discount: str) -> Column:
     return F.round(gross * kept, 2).cast(MONEY_TOTAL)
 
 
+def order_keys(
+    orders: DataFrame,
+    customers: DataFrame,
+    accounts: DataFrame,
+    hot_customers: DataFrame | None = None,
+    hot_rows: int = skew.HOT_ROWS,
+) -> DataFrame:
+    """What lines and shipments take from their order, without invoices, payments and rates: its keys, dates and status.
+
+    ``hot_customers`` lists customers with very many orders (``skew.hot_keys`` on customer_id).
+    """
+    account = accounts.withColumnRenamed("account_id", "customer_id")
+    versioned = joins.as_of_version(
+        orders.select("order_number", "order_date", "customer_id", "order_status", "channel_code"),
+        customers,
+        "customer_id",
+        "order_date",
+        ["customer_sk", "customer_name"],
+        hot=hot_customers,
+        hot_rows=hot_rows,
+        spread=["order_number"],
+        lookups=[(account, ["bill_to_account_sk", "account_payment_terms"])],
+    )
+    day = F.to_date("order_date")
+    return versioned.select(
+        surrogate_key("order_number").alias("order_sk"),
+        "order_number", "customer_sk", "customer_name", "bill_to_account_sk", "account_payment_terms", "order_status", "channel_code",
+        day.alias("order_date"),
+        date_id(day).alias("order_date_id"),
+    )
+
+
 def fact_sales_order(
     orders: DataFrame,
     invoices: DataFrame,
@@ -70,39 +102,29 @@ def fact_sales_order(
         "payment_method",
         F.round(F.col("invoice_total") * F.col("rate_to_gbp"), 2).cast(MONEY_TOTAL).alias("order_total_gbp"),
     )
-    account = accounts.withColumnRenamed("account_id", "customer_id")
-    versioned = joins.as_of_version(
-        orders.select("order_number", "order_date", "customer_id", "order_status", "channel_code"),
-        customers,
-        "customer_id",
-        "order_date",
-        ["customer_sk", "customer_name"],
-        hot=hot_customers,
-        hot_rows=hot_rows,
-        spread=["order_number"],
-        lookups=[(account, ["bill_to_account_sk", "account_payment_terms"])],
-    )
-    star = versioned.join(billed, "order_number", "left")
+    star = order_keys(orders, customers, accounts, hot_customers, hot_rows).join(billed, "order_number", "left")
     star = joins.lookup(star, channels.select("channel_code", "channel_name"), "channel_code")
-    day = F.to_date("order_date")
     return star.select(
-        surrogate_key("order_number").alias("order_sk"),
+        "order_sk",
         "order_number",
-        day.alias("order_timestamp"),
+        F.col("order_date").alias("order_timestamp"),
         "customer_sk", "customer_name", "bill_to_account_sk", "account_payment_terms",
         "order_status", "channel_name", "payment_method",
         "invoice_timestamp", "payment_timestamp", "order_total_gbp",
-        day.alias("order_date"),
+        "order_date",
         F.col("invoice_timestamp").alias("invoice_date"),
         F.col("payment_timestamp").alias("payment_date"),
-        date_id(day).alias("order_date_id"),
+        "order_date_id",
         date_id("invoice_timestamp").alias("invoice_date_id"),
         date_id("payment_timestamp").alias("payment_date_id"),
     )
 
 
 def fact_sales_order_lines(lines: DataFrame, sales_orders: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per order line; keys and dates come from its order, a missing product is the unknown member."""
+    """One row per order line; keys and dates come from its order, a missing product is the unknown member.
+
+    ``sales_orders``: the stored order fact, or ``order_keys``.
+    """
     order = sales_orders.select(
         F.col("order_number").alias("_order"), "customer_sk", "bill_to_account_sk", "order_sk",
         F.col("order_status").alias("order_line_status"), "order_date", "order_date_id",
@@ -130,6 +152,7 @@ def fact_sales_order_lines(lines: DataFrame, sales_orders: DataFrame, products:
 def fact_shipment(shipments: DataFrame, sales_orders: DataFrame, hot_orders: DataFrame | None = None) -> DataFrame:
     """One row per shipment: cycle times in days, delivery state, place among the order's shipments.
 
+    ``sales_orders``: the stored order fact, or ``order_keys``.
     ``hot_orders`` lists orders with very many shipments (``skew.hot_keys`` on order_id).
     """
     order = sales_orders.select(

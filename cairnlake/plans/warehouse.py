@@ -131,22 +131,22 @@ def unique_key_checks(gold: Mapping[str, DataFrame]) -> list[DataFrame]:
 
 
 def one_current_checks(silver: Mapping[str, DataFrame]) -> list[DataFrame]:
-    return [checks.one_current("one current row per customer", silver["cust_master"], "customer_id")]
+    return [checks.one_current("customers with more than one open version", silver["cust_master"], "customer_id")]
 
 
 def overlap_checks(silver: Mapping[str, DataFrame]) -> list[DataFrame]:
-    return [checks.no_overlap("no overlapping version periods", silver["cust_master"], "customer_id")]
+    return [checks.no_overlap("versions that begin before an earlier one ends", silver["cust_master"], "customer_id")]
 
 
 def version_date_checks(silver: Mapping[str, DataFrame]) -> list[DataFrame]:
     return [
-        checks.closed_have_end("closed versions have an end date", silver["cust_master"]),
-        checks.current_have_none("current versions have no end date", silver["cust_master"]),
+        checks.closed_have_end("closed versions without an end", silver["cust_master"]),
+        checks.current_have_none("open versions with an end", silver["cust_master"]),
     ]
 
 
 def row_count_checks(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame]) -> list[DataFrame]:
-    return [checks.same_total(f"{f} row count matches silver", gold[f], silver[s]) for f, s in DRIVERS.items()]
+    return [checks.same_total(f"{f} rows, silver against gold", gold[f], silver[s]) for f, s in DRIVERS.items()]
 
 
 def orphan_checks(gold: Mapping[str, DataFrame]) -> list[DataFrame]:
@@ -164,7 +164,7 @@ def net_revenue_checks(silver: Mapping[str, DataFrame], gold: Mapping[str, DataF
     recomputed = facts.net_value("line_quantity", "line_unit_price", "line_discount_pct")
     return [
         checks.same_total(
-            "net revenue reconciles from silver to gold",
+            "net line value, silver against gold",
             gold["fact_sales_order_lines"], silver["sales_order_lines"],
             F.col("net_line_value"), recomputed,
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -39,6 +40,34 @@ def scan_parquet(spark: SparkSession, path: str | list[str], schema: str | T.Str
     return spark.read.schema(_schema(schema)).parquet(*([path] if isinstance(path, str) else path))
 
 
+def schema_drift(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """How delivered Parquet files differ from the declaration: ``file``, ``column``, ``kind``, ``declared``, ``delivered``.
+
+    Kinds: ``missing`` (the scan reads NULL), ``undeclared`` (the scan drops it), ``type``. Only
+    footers are read; names match whatever their case, as in the scan. Files of one delivery are few.
+    """
+    declared = {f.name.lower(): f for f in _schema(schema).fields}
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(place, True)
+    files = []
+    while listed.hasNext():
+        found = listed.next().getPath()
+        if not found.getName().startswith(("_", ".")):
+            files.append(found.toString())
+
+    def differences(file: str) -> list[tuple]:
+        delivered = {f.name.lower(): f for f in spark.read.parquet(file).schema.fields}
+        kind = lambda f: f.dataType.simpleString()
+        gone = [(file, f.name, "missing", kind(f), None) for n, f in declared.items() if n not in delivered]
+        new = [(file, f.name, "undeclared", None, kind(f)) for n, f in delivered.items() if n not in declared]
+        both = [(declared[n], f) for n, f in delivered.items() if n in declared]
+        return gone + new + [(file, d.name, "type", kind(d), kind(f)) for d, f in both if kind(d) != kind(f)]
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        rows = [row for some in pool.map(differences, sorted(files)) for row in some]
+    return spark.createDataFrame(rows, "file string, column string, kind string, declared string, delivered string")
+
+
 def scan_feed(spark: SparkSession, feed: Feed, path: str | list[str]) -> DataFrame:
     scan = scan_csv if feed.file_format == "csv" else scan_parquet
     return scan(spark, path, feed.struct)

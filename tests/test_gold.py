@@ -35,9 +35,9 @@ def test_broken_tables_fail(tables):
     failed = {r["check"] for r in warehouse.all_checks(silver, broken).filter("status = 'FAIL'").collect()}
     assert {
         "fact_sales_order_lines.order_line_sk unique",
-        "fact_sales_order_lines row count matches silver",
+        "fact_sales_order_lines rows, silver against gold",
         "fact_sales_order_lines -> dim_product",
-        "net revenue reconciles from silver to gold",
+        "net line value, silver against gold",
     } == failed
     with pytest.raises(checks.ChecksFailed, match="4 check"):
         checks.require_passed(warehouse.all_checks(silver, broken))

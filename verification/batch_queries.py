@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cairnlake.plans import batches
+from cairnlake.sources import landing
 from cairnlake.sources.feeds import FEEDS
 from verification import check_queries, gold_queries, join_queries, standins  # noqa: F401
 from verification.registry import BRONZE, CTES, REGISTRY, Tables, query, without_keys
@@ -101,6 +102,24 @@ def run_batches_audit(t: Tables) -> DataFrame:
     return counted.select(F.regexp_replace("what", "\\.delivered$", "").alias("feed"), "batch_id", "n_delivered")
 
 
+@query(
+    _sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS feed, batch_id, batch_id || '/{name}' AS delivered_in, count(*) AS n_rows FROM {{{feed}}} GROUP BY batch_id"
+        for name, feed in BRONZE.items()
+    ))
+)
+def bronze_ingested(t: Tables) -> DataFrame:
+    """All nineteen feeds as scanned from their delivered files, with the folder that each row came from."""
+    found, counts = lake(t), None
+    for name in BRONZE:
+        rows = landing.read_table(t.spark, found.path("bronze", name), landing.bronze_schema(FEEDS[name]))
+        place = F.regexp_extract("source_file", r"([^/]+/[^/]+)/[^/]+$", 1)
+        loaded = rows.filter("ingestion_timestamp IS NOT NULL").groupBy(F.lit(name).alias("feed"), "batch_id", place.alias("delivered_in"))
+        loaded = loaded.agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = loaded if counts is None else counts.unionByName(loaded)
+    return counts
+
+
 @query(_sql(REGISTRY["fact_sales_order"][1]))
 def run_batches_orders(t: Tables) -> DataFrame:
     """The stored order fact: each delivery has rebuilt only the orders its changes lead to."""

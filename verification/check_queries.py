@@ -50,22 +50,22 @@ UNIQUE = [
     _dup("g_fact_shipment", "shipment_number", "fact_shipment.shipment_sk"),
 ]
 ONE_CURRENT = [
-    _zero("one current row per customer",
+    _zero("customers with more than one open version",
           "SELECT 1 FROM {s_cust_master} WHERE is_current GROUP BY customer_id HAVING count(*) > 1")
 ]
 NO_OVERLAP = [
-    _zero("no overlapping version periods",
+    _zero("versions that begin before an earlier one ends",
           "SELECT 1 FROM {s_cust_master} a JOIN {s_cust_master} b ON a.customer_id = b.customer_id "
           "AND a.valid_from < b.valid_from WHERE coalesce(a.valid_to, DATE '2999-12-31') > b.valid_from")
 ]
 VERSION_DATES = [
-    _zero("closed versions have an end date",
+    _zero("closed versions without an end",
           "SELECT 1 FROM {s_cust_master} WHERE NOT is_current AND valid_to IS NULL"),
-    _zero("current versions have no end date",
+    _zero("open versions with an end",
           "SELECT 1 FROM {s_cust_master} WHERE is_current AND valid_to IS NOT NULL"),
 ]
 ROW_COUNTS = [
-    f"""SELECT '{fact} row count matches silver' AS "check",
+    f"""SELECT '{fact} rows, silver against gold' AS "check",
                (SELECT CAST(count(*) AS VARCHAR) FROM {{s_{driver}}}) AS expected,
                (SELECT CAST(count(*) AS VARCHAR) FROM {{g_{fact}}}) AS actual"""
     for fact, driver in warehouse.DRIVERS.items()
@@ -94,7 +94,7 @@ DATE_KEYS = [
     for fact, column in warehouse.DATE_KEYS
 ]
 NET_REVENUE = [
-    """SELECT 'net revenue reconciles from silver to gold' AS "check",
+    """SELECT 'net line value, silver against gold' AS "check",
               (SELECT CAST(sum(CAST(round(CAST(line_quantity AS DECIMAL(10,0)) * line_unit_price
                   * (1 - coalesce(line_discount_pct, CAST(0 AS DECIMAL(5,4)))), 2) AS DECIMAL(30,2))) AS VARCHAR)
                FROM {s_sales_order_lines}) AS expected,

@@ -41,10 +41,9 @@ def trim_strings(t: Tables) -> DataFrame:
     return clean.trim_strings(t.bronze("cust_master").select("CUST_ID", "CUST_NAME", "CREDIT_LIMIT"))
 
 
-@query(f"SELECT ORDER_NO, {tidy('ORD_STATUS')} AS ORD_STATUS, BILL_ADDR_ID FROM {{f_sales_order}}")
+@query(f"SELECT ORDER_NO, {tidy('ORD_STATUS')} AS ORD_STATUS, BILL_ADDR_ID FROM {{f_sales_order_redelivered}}")
 def collapse_whitespace(t: Tables) -> DataFrame:
-    orders = t.bronze("sales_order").filter("batch_id <> '2099-01'")
-    return clean.trim_strings(orders.select("ORDER_NO", "ORD_STATUS", "BILL_ADDR_ID"), collapse=True)
+    return clean.trim_strings(t.bronze("sales_order").select("ORDER_NO", "ORD_STATUS", "BILL_ADDR_ID"), collapse=True)
 
 
 @query("SELECT invoice_no, order_id, customer_id FROM {f_invoice} WHERE order_id IS NOT NULL AND customer_id IS NOT NULL")

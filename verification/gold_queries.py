@@ -174,7 +174,7 @@ def fact_sales_order(t: Tables) -> DataFrame:
        FROM {g_fact_sales_order_lines}"""
 )
 def fact_sales_order_lines(t: Tables) -> DataFrame:
-    lines = facts.fact_sales_order_lines(t.silver("sales_order_lines"), t.fact_sales_order, t.dim_product)
+    lines = facts.fact_sales_order_lines(t.silver("sales_order_lines"), t.order_keys, t.dim_product)
     return without_keys(lines)
 
 
@@ -194,7 +194,7 @@ def fact_sales_order_lines(t: Tables) -> DataFrame:
        FROM {g_fact_shipment}"""
 )
 def fact_shipment(t: Tables) -> DataFrame:
-    return without_keys(facts.fact_shipment(t.silver("shipment"), t.fact_sales_order, t.hot_orders))
+    return without_keys(facts.fact_shipment(t.silver("shipment"), t.order_keys, t.hot_orders))
 
 
 @query(

@@ -102,6 +102,10 @@ class Tables:
             self.silver("channels"), hot_customers=self.hot_customers,
         )
 
+    @cached_property
+    def order_keys(self) -> DataFrame:
+        return facts.order_keys(self.silver("sales_order"), self.dim_customer, self.dim_customer_account, self.hot_customers)
+
     def stored(self) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
         """Silver and gold as tables written once per session, for the checks over them."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir)

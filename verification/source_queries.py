@@ -41,6 +41,21 @@ def scan_schema_drift(t: Tables) -> DataFrame:
     return both.select("ORDER_NO", "CUST_ID", "order_source")
 
 
+@query(
+    """SELECT * FROM (VALUES ('old', 'order_source', 'missing', 'string', NULL), ('new', 'LOYALTY_CD', 'undeclared', NULL, 'int'),
+              ('new', 'CUST_ID', 'type', 'bigint', 'string')) AS drift(delivery, "column", kind, declared, delivered)
+       WHERE EXISTS (SELECT 1 FROM {f_sales_order} WHERE batch_id < '1998-01') AND EXISTS (SELECT 1 FROM {f_sales_order} WHERE batch_id >= '1998-01')"""
+)
+def schema_drift_report(t: Tables) -> DataFrame:
+    """Older files lack a column; newer ones have one more, and another type for the customer."""
+    folder, orders = t.path("drift"), t.feed("f_sales_order")
+    orders.filter("batch_id < '1998-01'").drop("order_source", "batch_id").write.parquet(f"{folder}/old")
+    newer = orders.filter("batch_id >= '1998-01'").withColumns({"CUST_ID": F.col("CUST_ID").cast("string"), "LOYALTY_CD": F.lit(1)})
+    newer.drop("batch_id").write.parquet(f"{folder}/new")
+    found = landing.schema_drift(t.spark, folder, FEEDS["sales_order"].struct)
+    return found.select(F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("delivery"), "column", "kind", "declared", "delivered").distinct()
+
+
 def _bronze_orders(t: Tables) -> str:
     table = t.path("bronze-orders")
     landing.replace_batches(t.feed("f_sales_order"), table)

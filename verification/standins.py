@@ -214,8 +214,7 @@ FEEDS: dict[str, str] = {
     FROM {f_campaign_days}""",
     "f_campaign_sku": f"""
     SELECT DISTINCT CAST(o_custkey % 30 AS STRING) AS campaign_id, {_SKU.format(k='l_partkey')} AS sku, '2024-01' AS batch_id
-    FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
-    WHERE l_partkey % 40 = 0 AND (o_custkey + l_partkey) % 7 = 0""",
+    FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     "f_sales_targets": f"""
     SELECT DISTINCT CAST({_MONTH.format(d='o_orderdate')} || '-01' AS DATE) AS target_month,
            CAST(n_regionkey AS STRING) AS region_id,
