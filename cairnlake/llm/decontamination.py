@@ -205,7 +205,7 @@ def find_items(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high, low = (np.unpackbits(x).view(bool) for x in sent.value)
-        for batch in slices(batches):
+        for batch in slices(batches, 1000):
             t = Templates(batch.column("text"))
             for length, literal in lengths:
                 text, place, hashes = t.windows(length, False, literal)

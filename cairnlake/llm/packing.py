@@ -146,7 +146,7 @@ def pack(
             columns = list(zip(*packer.taken())) or [()] * 7
             return pa.RecordBatch.from_arrays([pa.array(columns[0], id_type), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["id", *FIELDS])
 
-        for batch in slices(batches):
+        for batch in slices(batches, 1500):
             id_type = batch.schema.field("id").type
             keys = batch.column("id").to_pylist()
             ids, offsets = vocabulary.encode_all(batch.column("text"))

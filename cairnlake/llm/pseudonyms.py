@@ -314,7 +314,7 @@ def pseudonymise_column(df: DataFrame, text_column: str, key: bytes = DEFAULT_KE
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1000):
             texts, places = [], []
             for text in batch.column(at).to_pylist():
                 new, where = (None, []) if text is None else pseudonymise(text, key, back)

@@ -28,8 +28,8 @@ _BATCH = 256
 PREDICT_FROM = 0.3
 #: A filter rejects from here on.
 REJECT_FROM = 0.5
-#: Windows that go through the network at once.
-_BLOCK = 4096
+#: Texts that are scored at a time, and windows that go through the network at once.
+SCORED, _BLOCK = 500, 1024
 
 
 def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -309,7 +309,7 @@ def score_toxicity(df: DataFrame, id_column: str, text_column: str, net: Network
     schema = f"id {rows.schema['id'].dataType.simpleString()}{kept}, score double, predicted int, n_windows long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, SCORED):
             scores, count = text_scores(net, batch.column("text"))
             columns = {"id": batch.column("id")} | {f"kept_{k}": batch.column(f"kept_{k}") for k in keep}
             columns |= {"score": pa.array(scores), "predicted": pa.array((scores >= PREDICT_FROM).astype(np.int32)), "n_windows": pa.array(count)}
@@ -325,7 +325,7 @@ def without_toxic(df: DataFrame, text_column: str, net: Network | None, least: f
     named = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, SCORED):
             scores, _ = text_scores(net, batch.column(at))
             yield batch.filter(pa.array(scores < least))
 

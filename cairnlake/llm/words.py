@@ -9,11 +9,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 2500) -> Iterator[pa.RecordBatch]:
-    """Batches of at most ``rows`` rows, so that what a task holds besides them stays small."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2500, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, and not many more bytes than ``size``, so that what a task holds besides them stays small."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        rows_now = max(1, min(rows, size * batch.num_rows // max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows_now):
+            yield batch.slice(at, rows_now)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: list[str | None] | pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
