@@ -88,7 +88,7 @@ def describe(df: DataFrame) -> DataFrame:
     kind = df.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1000):
             sets = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_key"), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary())],
@@ -253,7 +253,7 @@ def sets_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
     chosen = texts.join(small_side(wanted), on).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1000):
             sets = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
@@ -307,15 +307,20 @@ def groups(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     keys = bucket_keys(classes)
     buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).filter("size > 1")
     members = written(keys.join(buckets, "key"), "minhash-members")
-    stars = members.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    # Near copies share most of their buckets, so there are far fewer of these pairs than members.
+    pairs = written(members.filter("node != hub").select("node", "hub").distinct(), "minhash-pairs")
+    stars = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
     stars = written(nearest(distances(stars, classes)), "minhash-stars")
     links = confirmed(stars, df, classes, "minhash-stars")
 
     nodes = written(members.select("node").distinct(), "minhash-nodes")
     labels = written(components(nodes, links, "minhash"), "minhash-components")
-    placed = members.join(labels, "node")
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    still = written(placed.join(open_keys, "key").select("key", "node", "component", "size"), "minhash-open")
+    # A bucket is open if a member of it and its hub are in different components.
+    of_hub = labels.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+    apart = pairs.join(labels, "node").join(of_hub, "hub").filter("component != hub_component").select("node", "hub")
+    open_keys = members.join(apart, ["node", "hub"], "left_semi").select("key").distinct()
+    still = members.join(open_keys, "key", "left_semi").join(labels, "node").select("key", "node", "component", "size")
+    still = written(still, "minhash-open")
     if not still.isEmpty():
         links = links.unionByName(written(crossing_links(still, df, classes), "minhash-crossing"))
         labels = written(components(nodes, links, "minhash"), "minhash-components")
