@@ -146,17 +146,16 @@ def store_history(versions: DataFrame, path: str) -> None:
 
 
 def merge_stored(
-    path: str, source: DataFrame, key: str, tracked: Sequence[str], effective_from: Column | None = None
+    path: str, source: DataFrame, key: str, tracked: Sequence[str], effective_from: Column | None = None, whole: bool = False
 ) -> None:
     """Apply one batch to a stored version table.
 
     Only the open versions and those closed on a day the batch takes effect on are read. One
     dynamic overwrite replaces these partitions, so a batch costs as much as the current
     customers, not as their history; a batch delivered again, changed or not, leaves the
-    versions that applying only its last delivery would have left, also for keys that the last
-    delivery lacks (untracked values that the earlier delivery overwrote in a version of an earlier
-    batch are not brought back). The source is the whole delivery of each day it takes effect on;
-    these days are few: one for each month a delivery holds. Rows without key are not versioned.
+    versions that applying only its last delivery would have left (untracked values that the earlier delivery overwrote in a version of an earlier
+    batch are not brought back). The effective days are few: one for each month a delivery holds. Rows without
+    key are not versioned. ``whole``: the source is all of its batch, so a key it lacks is withdrawn.
     """
     start = batch_start() if effective_from is None else effective_from
     source = source.filter(F.col(key).isNotNull())
@@ -166,7 +165,7 @@ def merge_stored(
         return
     days = [r[0] for r in source.select(start.alias("day")).distinct().collect() if r[0] is not None]
     affected = target.filter(F.col("valid_to").isNull() | F.col("valid_to").isin(days))
-    state = touched_versions(affected, source, key, tracked, effective_from, days)
+    state = touched_versions(affected, source, key, tracked, effective_from, days if whole else ())
     # Only a repeated delivery finds versions closed on its day, and may open the last of them again.
     closed = [r[0] for r in affected.filter("valid_to IS NOT NULL").select(F.col("valid_to").cast("string")).distinct().collect()]
     replace_partitions(state.hint("rebalance", "valid_to"), path, "valid_to", closed)

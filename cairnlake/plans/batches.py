@@ -134,7 +134,7 @@ def silver_step(lake: Lake, batch: str, attempt: int, names: Sequence[str]) -> d
                 # Customers that an earlier delivery of this batch gave a version.
                 known = known.union(stored.filter(F.col("valid_from") == scd2.batch_start(F.lit(batch))).select(*feed.key))
             lake.note(batch, attempt, name, known.distinct())
-            scd2.merge_stored(path, rows, feed.key[0], feed.tracked)
+            scd2.merge_stored(path, rows, feed.key[0], feed.tracked, whole=True)
         else:
             rows = silver.conform(bronze, feed, trail)
             keyed.upsert_keyed(

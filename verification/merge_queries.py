@@ -248,7 +248,7 @@ def scd2_stored_withdrawn(t: Tables) -> DataFrame:
     everyone = dedup.latest_per_key(months, ["customer_id"], [F.col("batch_id").desc()])
     wrong = everyone.withColumns({"batch_id": F.lit(last), "customer_segment": F.lit("WRONG")})
     for delivery in (wrong, months.filter(F.col("batch_id") == last)):
-        scd2.merge_stored(path, delivery, "customer_id", TRACKED)
+        scd2.merge_stored(path, delivery, "customer_id", TRACKED, whole=True)
     return merge.stored(t.spark, path, old.schema)
 
 
