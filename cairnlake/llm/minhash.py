@@ -100,16 +100,17 @@ def describe(df: DataFrame) -> DataFrame:
 
 
 def bucket_keys(classes: DataFrame) -> DataFrame:
-    """``key``, ``node`` for all keys of all classes."""
+    """``key``, ``node`` for all keys of all classes, with ``component`` where the classes have it."""
+    labels = [c for c in ("node", "component") if c in classes.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = batch.column("node").to_numpy()
-            sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(len(nodes), SYMBOLS)
+            sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u2").reshape(batch.num_rows, SYMBOLS)
             keys = chunk_keys(sigs)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(nodes, keys.shape[1]))], names=["key", "node"])
+            repeated = [pa.array(np.repeat(batch.column(c).to_numpy(), keys.shape[1])) for c in labels]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *repeated], names=["key", *labels])
 
-    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
+    return classes.select(*labels, "sig").mapInArrow(run, ", ".join(["key long", *(f"{c} long" for c in labels)]))
 
 
 def distances(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -315,11 +316,12 @@ def groups(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     nodes = written(members.select("node").distinct(), "minhash-nodes")
     labels = written(components(nodes, links, "minhash"), "minhash-components")
-    # A bucket is open if a member of it and its hub are in different components.
-    of_hub = labels.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    apart = pairs.join(labels, "node").join(of_hub, "hub").filter("component != hub_component").select("node", "hub")
-    open_keys = members.join(apart, ["node", "hub"], "left_semi").select("key").distinct()
-    still = members.join(open_keys, "key", "left_semi").join(labels, "node").select("key", "node", "component", "size")
+    # A bucket is open if its members are in different components. Classes take their component
+    # along into their keys, so the buckets are judged by an aggregate, without a join of members.
+    labelled = written(bucket_keys(classes.select("node", "sig").join(labels, "node")), "minhash-labelled")
+    sizes = labelled.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
+    open_buckets = written(sizes.filter("least < most").select(F.col("key").alias("open_key"), "size"), "minhash-open-buckets")
+    still = labelled.join(open_buckets, F.col("key") == F.col("open_key")).select("key", "node", "component", "size")
     still = written(still, "minhash-open")
     if not still.isEmpty():
         links = links.unionByName(written(crossing_links(still, df, classes), "minhash-crossing"))
