@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from cairnlake.operators import skew
 from cairnlake.operators.scd2 import end_or_far_future
@@ -95,6 +95,52 @@ def as_of_version(
     return out.drop("_key", "_salt")
 
 
+def as_of_sorted(
+    df: DataFrame,
+    versions: DataFrame,
+    key: str,
+    day: str,
+    values: Sequence[str],
+    hot: DataFrame | None = None,
+    hot_rows: int = skew.HOT_ROWS,
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
+    """The rows of ``as_of_version`` from one sorted stream of versions and rows, without a join.
+
+    Versions and rows of a key are sorted by date together and the last version begun is carried
+    forward; it holds if it has not ended by the row's day. A key costs a sort of its versions
+    plus its rows, where a join on the key tests each row against each version. One exchange
+    serves both sides. Use it for keys with many versions; for few, the join can broadcast.
+
+    With ``hot`` the rows of those keys are spread by a hash of ``spread`` over several tasks, each of
+    which gets all versions of the key. Periods of a key do not overlap; one that is empty or
+    has no start matches nothing, and so does a row without key or day.
+    """
+    spread = list(spread or df.columns)
+    is_text = isinstance(df.schema[key].dataType, T.StringType)
+    rows = df.select(
+        (skew.spread_key(key, spread[0]) if is_text else F.col(key)).alias("_key"),
+        F.to_date(day).alias("_at"), F.lit(1).alias("_kind"), F.struct(*df.columns).alias("_row"),
+        *([F.xxhash64(*spread).alias("_spread")] if hot is not None else []),
+    )
+    begun = versions.select(
+        F.col(key).alias("_key"), F.col("valid_from").cast("date").alias("_at"), F.lit(0).alias("_kind"),
+        F.struct(end_or_far_future().alias("_until"), *values).alias("_version"),
+    ).filter("_key IS NOT NULL AND _at < _version._until")
+    by = ["_key"]
+    if hot is not None:
+        by = ["_key", "_salt"]
+        per_key = skew.salts(hot, key, hot_rows).withColumnRenamed(key, "_key")
+        rows = skew.salt_rows(rows, "_key", per_key, ["_spread"]).drop("_spread")
+        begun = skew.replicate_rows(begun, "_key", per_key)
+    # A version that begins on the row's day comes before the row.
+    carried = Window.partitionBy(*by).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stream = rows.unionByName(begun, allowMissingColumns=True)
+    met = stream.withColumn("_last", F.last("_version", ignorenulls=True).over(carried)).filter("_kind = 1")
+    holds = F.col("_key").isNotNull() & (F.col("_at") < F.col("_last._until"))
+    return met.select("_row.*", *[F.when(holds, F.col(f"_last.{c}")).alias(c) for c in values])
+
+
 def rows_at_max(df: DataFrame, key: str, value: str) -> DataFrame:
     """Rows that hold the largest ``value`` of their key; ties stay."""
     peak = df.groupBy(key).agg(F.max(value).alias("_peak"))

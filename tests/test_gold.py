@@ -43,6 +43,44 @@ def test_broken_tables_fail(tables):
         checks.require_passed(warehouse.all_checks(silver, broken))
 
 
+def _damaged(silver, gold):
+    """Every kind of fault at once: repeated and NULL keys, lost parents, dates off the calendar, broken versions."""
+    broken, raw = dict(gold), dict(silver)
+    lines, orders = gold["fact_sales_order_lines"], gold["fact_sales_order"]
+    broken["fact_sales_order_lines"] = lines.unionByName(lines.orderBy("order_line_sk").limit(3))
+    broken["fact_sales_order"] = orders.filter("order_sk % 7 <> 0")
+    nameless = gold["dim_product"].filter("product_sk % 5 = 0").withColumn("product_sk", F.lit(None).cast("long"))
+    broken["dim_product"] = gold["dim_product"].filter("product_sk % 5 <> 0").unionByName(nameless)
+    broken["dim_date"] = gold["dim_date"].filter("date_id NOT LIKE '%15'")
+    versions = silver["cust_master"]
+    again = versions.filter("is_current").withColumn("valid_from", F.date_add("valid_from", 3))
+    late = versions.filter("is_current").limit(4).withColumn("valid_to", F.lit(datetime.date(2030, 1, 1)))
+    lost = versions.limit(2).withColumns({"is_current": F.lit(False), "valid_to": F.lit(None).cast("date")})
+    raw["cust_master"] = versions.unionByName(again).unionByName(late).unionByName(lost)
+    return raw, broken
+
+
+def test_one_pass_reports_what_single_checks_do(tables):
+    silver, gold = tables.stored()
+    assert rows(warehouse.checks_in_one_pass(silver, gold)) == rows(warehouse.all_checks(silver, gold))
+    damaged = _damaged(silver, gold)
+    single = rows(warehouse.all_checks(*damaged), "check", "expected", "actual", "status")
+    assert rows(warehouse.checks_in_one_pass(*damaged), "check", "expected", "actual", "status") == single
+    assert sum(r[3] == "FAIL" for r in single) >= 14
+
+
+def test_one_pass_reads_each_table_once(tables):
+    silver, gold = tables.stored()
+    physical = plan(warehouse.checks_in_one_pass(silver, gold)).split("== Physical Plan ==")[1]
+    assert physical.count("FileScan") == len(warehouse.SURROGATE_KEYS) + len(warehouse.DRIVERS) + 1
+    assert "Join" not in physical
+
+
+def test_one_pass_over_empty_tables(tables):
+    silver, gold = ({k: v.limit(0) for k, v in side.items()} for side in tables.stored())
+    assert rows(warehouse.checks_in_one_pass(silver, gold)) == rows(warehouse.all_checks(silver, gold))
+
+
 def test_surrogate_keys_resolve(tables):
     _, gold = tables.stored()
     orders, customers = gold["fact_sales_order"], gold["dim_customer"]

@@ -57,6 +57,25 @@ def test_salted_point_in_time_join_equals_plain(spark):
     assert plain.filter("version IS NOT NULL").count() > 500
 
 
+def test_sorted_stream_equals_point_in_time_join(spark):
+    """With gaps between versions, keys and days that are NULL, rows on a version's first day and empty periods."""
+    df = orders(spark).withColumn("order_date", F.when(F.length("order_number") % 3 != 0, F.col("order_date")))
+    gaps = versions(spark).filter("valid_from <> '2024-03-01' OR customer_id > '2'")
+    odd = gaps.limit(3).withColumns({"valid_to": F.col("valid_from"), "version": F.lit("empty")})
+    nobody = gaps.limit(2).withColumn("customer_id", F.lit(None).cast("string"))
+    v = gaps.unionByName(odd).unionByName(nobody)
+    joined = joins.as_of_version(df, v, "customer_id", "order_date", ["version"])
+    plain = joins.as_of_sorted(df, v, "customer_id", "order_date", ["version"])
+    hot = skew.hot_keys(df, "customer_id", HOT)
+    salted = joins.as_of_sorted(df, v, "customer_id", "order_date", ["version"], hot=hot, hot_rows=HOT, spread=["order_number"])
+    assert plain.columns == joined.columns
+    assert rows(plain) == rows(joined) == rows(salted)
+    assert plain.filter("version IS NOT NULL").count() > 300 and plain.filter("version IS NULL").count() > 100
+    fresh = joins.as_of_sorted(df, v, "customer_id", "order_date", ["version"])
+    physical = plan(fresh).split("== Physical Plan ==")[1]
+    assert physical.count("Exchange hashpartitioning") == 1 and "Join" not in physical
+
+
 def test_salt_spreads_the_hot_key_only(spark):
     df = orders(spark)
     per_key = skew.salts(skew.hot_keys(df, "customer_id", HOT), "customer_id", HOT)

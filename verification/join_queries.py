@@ -90,6 +90,19 @@ def point_in_time_join(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """SELECT order_number, customer_id, CAST(order_date AS VARCHAR) AS order_date,
+              CAST(valid_from AS VARCHAR) AS version_start, customer_segment FROM {g_versioned_order}"""
+)
+def point_in_time_sorted(t: Tables) -> DataFrame:
+    orders = t.silver("sales_order").select("order_number", "customer_id", "order_date")
+    versions = t.silver("cust_master").withColumn("version_start", F.col("valid_from"))
+    return joins.as_of_sorted(
+        orders, versions, "customer_id", "order_date", ["version_start", "customer_segment"],
+        hot=t.hot_customers, spread=["order_number"],
+    )
+
+
 @query(
     """SELECT channel_code, count(*) AS n_rows FROM {s_sales_order}
        WHERE channel_code NOT IN (SELECT channel_code FROM {s_channels}) GROUP BY channel_code"""
