@@ -26,8 +26,10 @@ def split_words(texts: list[str | None] | pa.Array, lower: bool = True) -> tuple
     outside Python, so Python sees each distinct word of the batch once.
     """
     column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
+    column = pc.fill_null(column, "")
+    # Before the cast: a slice that was cast keeps offsets that ascii_lower misreads.
+    column = pc.ascii_lower(column) if lower else column
+    parts = pc.ascii_split_whitespace(column.cast(pa.large_string()))
     flat, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
     lengths = pc.binary_length(flat).to_numpy(zero_copy_only=False)
     if len(lengths) and not lengths.all():  # blanks at a text's ends leave empty parts

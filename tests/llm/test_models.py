@@ -6,11 +6,12 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cairnlake.llm import language_id, markov_model as mm, toxicity as tox
-from cairnlake.llm.words import split_words
+from cairnlake.llm.words import slices, split_words
 from tests.llm.conftest import ODD
 
 
@@ -197,6 +198,31 @@ def tox_fold(text):
     return zlib.crc32(text.encode()) % 5
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_split_words_of_slices(kind):
+    """Whatever part of a batch a slice is, its words are those of its texts."""
+    texts = [f"Word{i} É{i}x\t{'Z' * i} " for i in range(12)] + [None, "", " one  more\n"]
+    for some in (texts, texts[:12]):
+        column = pa.array(some, kind)
+        for at, n in ((0, 5), (1, 5), (5, 7), (10, 5)):
+            words, codes, sizes = split_words(column.slice(at, n))
+            assert [words[c] for c in codes] == [w for t in some[at : at + n] for w in (t or "").encode().lower().split()]
+            assert len(sizes) == len(some[at : at + n])
+
+
+def test_results_do_not_depend_on_slices(spark, monkeypatch):
+    """Base scores of a batch that is read in many slices."""
+    texts = [f"Ab{i % 7} cd{i} EF the The {'x' * (i % 5)}" for i in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    small = lambda batches, *_: slices(batches, 40)
+    monkeypatch.setattr(mm, "slices", small)
+    got = mm.score_texts(rows, "doc_id", "text", F.expr("id % 3 != 1")).collect()
+    counts = Counter(w for i, t in enumerate(texts) if i % 3 != 1 for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    want = [(i, len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens(t)), 6)) for i, t in enumerate(texts)]
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+
+
 def test_toxicity_sample_has_one_row_an_id(spark):
     docs = spark.createDataFrame([(1, f"text {k % 7}") for k in range(300)] + [(2, "other"), (3, None), (3, None)], "id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "id long, toxic int")
