@@ -9,6 +9,7 @@ import pytest
 
 from cairnlake.llm import decontamination as dec, minhash as mh, vector_links as vl
 from cairnlake.llm.common import components
+from cairnlake.llm.words import slices
 from tests.llm.conftest import ODD, TEXT_SCHEMA
 
 
@@ -78,6 +79,15 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, TEXT_SCHEMA)) == brute(rows)
 
 
+def test_slices_change_nothing(spark, monkeypatch):
+    """Documents of one batch that is read in many slices."""
+    monkeypatch.setattr(mh, "slices", lambda batches, *_: slices(batches, 30))
+    rows = copies(3, 25)
+    df = spark.createDataFrame(rows, TEXT_SCHEMA).coalesce(1)
+    assert found(df) == brute(rows)
+    assert sorted(r.doc_id for r in mh.one_of_each_group(df, "doc_id", "text").collect()) == sorted(int(i) for i, _, _, kept in brute(rows) if kept)
+
+
 def test_pigeonhole_lets_no_near_pair_slip():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 1 << 16, (300, mh.SYMBOLS)).astype(np.uint16)
