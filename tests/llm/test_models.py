@@ -223,6 +223,20 @@ def test_results_do_not_depend_on_slices(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
 
 
+def test_toxicity_scores_do_not_depend_on_slices(spark, monkeypatch):
+    """Rows of one batch have the scores of their texts alone, and the filter rejects by these."""
+    monkeypatch.setattr(tox, "SCORED", 7)
+    net = tox.Network.fresh(3)
+    net.p["o"] *= 20
+    texts = [f"Ab{i} THE cd{i * i} " * (i % 30 + 1) for i in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want = [float(tox.text_scores(net, [t])[0][0]) for t in texts]
+    got = {r.doc_id: r.score for r in tox.score_toxicity(rows, "doc_id", "text", net).collect()}
+    assert np.allclose([got[i] for i in range(60)], want, atol=1e-4) and np.ptp(want) > 0.02
+    middle = (sorted(want)[29] + sorted(want)[30]) / 2
+    assert {r.doc_id for r in tox.without_toxic(rows, "text", net, middle).collect()} == {i for i, x in enumerate(want) if x < middle}
+
+
 def test_toxicity_sample_has_one_row_an_id(spark):
     docs = spark.createDataFrame([(1, f"text {k % 7}") for k in range(300)] + [(2, "other"), (3, None), (3, None)], "id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "id long, toxic int")
