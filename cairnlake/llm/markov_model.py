@@ -20,8 +20,8 @@ OWN_SYMBOL = 1 << 16
 KNOWN_COUNT = 1 << 20
 #: All other words share a symbol with those of the same ending.
 CLASSES = 256
-#: Rounds over a bounded sample to start from, the sample's rows, and rounds over all training rows.
-SAMPLE_ROUNDS, SAMPLE_ROWS, CORPUS_ROUNDS = 12, 1500, 2
+#: Rounds, each over all training rows: until log10 of a token's probability gains less than SETTLED, so many at most.
+ROUNDS, SETTLED = 14, 0.0005
 #: Training cuts longer texts into pieces of so many tokens; scoring never cuts.
 TRAINING_PIECE = 8192
 #: Weight, in tokens, of the overall symbol frequencies in each state's.
@@ -96,9 +96,10 @@ class Model:
 
 
 class Sums:
-    """Expected counts of one E step."""
+    """Expected counts of one E step, and log10 of the texts' probability."""
 
     def __init__(self, n_symbols: int):
+        self.likelihood = 0.0
         self.start, self.move = np.zeros(STATES), np.zeros((STATES, STATES))
         self.emit = np.zeros((n_symbols, STATES))
 
@@ -153,6 +154,7 @@ def expect(model: Model, symbols: np.ndarray, starts: np.ndarray, lengths: np.nd
                 back = emits[t] * after / scales[t]
                 sums.move += model.move * (forward[t - 1][:n].T @ back)
                 after = back @ model.move.T
+        sums.likelihood += float(np.log10(np.concatenate(scales)).sum())
         sums.start += shares[0].sum(0)
         flat, weight = np.concatenate(columns), np.concatenate(shares)
         for k in range(STATES):
@@ -247,10 +249,10 @@ def _symbol_type(n_symbols: int) -> str:
     return "<u2" if n_symbols <= 1 << 16 else "<u4"
 
 
-def corpus_step(sequences: DataFrame, model: Model, frequencies: np.ndarray) -> Model:
-    """One Baum-Welch round: each task sums expected counts, Spark adds them by symbol.
+def corpus_sums(sequences: DataFrame, model: Model) -> Sums:
+    """The E step over all rows: each task sums expected counts, Spark adds them by symbol.
 
-    sequences: ``symbols``. At most ``n_symbols`` + STATES + 1 rows of STATES numbers come back, whatever
+    sequences: ``symbols``. At most ``n_symbols`` + STATES + 2 rows of STATES numbers come back, whatever
     the corpus.
     """
     sent = sequences.sparkSession.sparkContext.broadcast(model)
@@ -262,34 +264,35 @@ def corpus_step(sequences: DataFrame, model: Model, frequencies: np.ndarray) ->
         for batch in slices(batches):
             flat, starts, lengths = _sequences(batch.column("symbols"), len(model.emit))
             expect(model, flat, *pieces(starts, lengths), sums)
-        rows = np.concatenate((sums.emit, sums.move, sums.start[None]))
+        rows = np.concatenate((sums.emit, sums.move, sums.start[None], np.full((1, STATES), sums.likelihood)))
         used = np.flatnonzero(rows.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(rows[used, k]) for k in range(STATES))], names=["row", *names])
 
     schema = "row long, " + ", ".join(f"{n} double" for n in names)
     found = sequences.select("symbols").mapInArrow(run, schema).groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    rows = np.zeros((len(model.emit) + STATES + 1, STATES))
+    rows = np.zeros((len(model.emit) + STATES + 2, STATES))
     if found.num_rows:
         rows[found.column("row").to_numpy()] = np.stack([found.column(n).to_numpy() for n in names], axis=1)
     sums = Sums(len(model.emit))
-    sums.emit, sums.move, sums.start = rows[: len(model.emit)], rows[len(model.emit) : -1], rows[-1]
-    return sums.model(frequencies)
+    sums.emit, sums.move, sums.start, sums.likelihood = rows[: len(model.emit)], rows[len(model.emit) : -2], rows[-2], float(rows[-1, 0])
+    return sums
+
+
+def corpus_step(sequences: DataFrame, model: Model, frequencies: np.ndarray) -> Model:
+    """One Baum-Welch round over all rows of ``sequences``."""
+    return corpus_sums(sequences, model).model(frequencies)
 
 
 def train(sequences: DataFrame, counts: Counts, seed: int = 5) -> Model:
-    """sequences: ``key``, ``symbols``. A bounded sample (least keys) gives the start, all rows the model."""
+    """sequences: ``symbols`` of all training rows, which every round reads; the start knows their symbols' counts only."""
     frequencies = counts.frequencies()
-    model = Model.first(frequencies, seed)
-    least = sequences.select("key").distinct().orderBy("key").limit(SAMPLE_ROWS)
-    # The sample's size is bounded, and its keys were picked without moving any text.
-    sample = sequences.join(F.broadcast(least), "key").select("key", "symbols").dropDuplicates(["key"]).orderBy("key").toArrow()
-    flat, starts, lengths = _sequences(sample.column("symbols"), counts.n_symbols)
-    for _ in range(SAMPLE_ROUNDS if len(lengths) else 0):
-        sums = Sums(counts.n_symbols)
-        expect(model, flat, *pieces(starts, lengths), sums)
+    model, before = Model.first(frequencies, seed), -np.inf
+    for _ in range(ROUNDS):
+        sums = corpus_sums(sequences, model)
         model = sums.model(frequencies)
-    for _ in range(CORPUS_ROUNDS):
-        model = corpus_step(sequences, model, frequencies)
+        if sums.likelihood - before <= SETTLED * counts.tokens:
+            break
+        before = sums.likelihood
     return model
 
 
@@ -366,7 +369,7 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, learns: Column)
     # Texts are split once more only: rounds of training and scores read their symbols.
     encoded = written(encode_texts(rows, Encoder(counts)), "encoded-texts")
     sequences = encoded.filter("word is null")
-    model = train(sequences.filter("learns").select("key", "symbols"), counts)
+    model = train(sequences.filter("learns").select("symbols"), counts)
     sent = df.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema["id"].dataType.simpleString()
 

@@ -93,6 +93,29 @@ def test_partitions_add_up(spark, odd):
     assert np.allclose(one.emit, many.emit) and np.allclose(one.move, many.move) and np.allclose(one.start, many.start)
 
 
+def test_every_round_learns_from_all_rows(spark):
+    """The model is that of plain rounds over all texts, also with more of them than any sample held."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"{'ab'[i % 2]}{k}" for k in rng.integers(0, 9, 1 + i % 5)) for i in range(1700)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").selectExpr("id", "text", "xxhash64(id, text) as key", "true as learns")
+    counts = mm.gather_counts(mm.count_words(rows), rows.count())
+    sequences, frequencies = mm.encode_texts(rows, mm.Encoder(counts)).filter("word is null").persist(), counts.frequencies()
+    got = mm.train(sequences.select("key", "symbols"), counts)
+    _, _, _, _, flat, starts, lengths = mm.Encoder(counts)(texts)
+    model, before, rounds = mm.Model.first(frequencies, 5), -np.inf, 0
+    while rounds < mm.ROUNDS:
+        now = mm.log_likelihood(model, flat, starts, lengths).sum()
+        sums = mm.Sums(counts.n_symbols)
+        mm.expect(model, flat, starts, lengths, sums)
+        assert abs(sums.likelihood - now) < 1e-6 * abs(now)
+        model, rounds = sums.model(frequencies), rounds + 1
+        if now - before <= mm.SETTLED * counts.tokens:
+            break
+        before = now
+    sequences.unpersist()
+    assert rounds > 1 and all(np.allclose(getattr(got, k), getattr(model, k)) for k in ("emit", "move", "start"))
+
+
 def test_network_gradient():
     rng = np.random.default_rng(0)
     net = tox.Network.fresh(1)
