@@ -8,9 +8,10 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
-from cairnlake.llm import pseudonyms as pn, url_filter as uf
+from cairnlake.llm import minhash, pseudonyms as pn, toxicity, url_filter as uf
 from cairnlake.llm.packing import pack
 from cairnlake.llm.vocabulary import tokenizer_path
+from cairnlake.llm.words import slices
 from tests.llm.conftest import ODD
 
 KEY = b"test key"
@@ -198,6 +199,20 @@ def test_pipeline(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_pipeline_stages_do_not_depend_on_slices(spark, monkeypatch):
+    """Documents of one batch are judged alike, read at once or in many slices."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").coalesce(1)
+
+    def kept():
+        return [sorted(r.doc_id for r in stage(spark, docs, folder).select("doc_id").collect()) for _, stage in corpus_pipeline.STAGES[:2]]
+
+    at_once = kept()
+    monkeypatch.setattr(toxicity, "SCORED", 20)
+    monkeypatch.setattr(minhash, "slices", lambda batches, *_: slices(batches, 20))
+    assert kept() == at_once and all(100 < len(ids) < 200 for ids in at_once)
+
+
 def test_pipeline_of_odd_rows(spark, clashing, empty, tmp_path):
     """Stages take NULLs, blanks, long and repeated texts; labels and benchmark may be empty."""
     folder = str(tmp_path)
