@@ -131,7 +131,7 @@ def distances(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, distance int")
 
 
-_CELL = "key long, i int, j int, block int, node long"
+_CELL = "key long, i int, j int, block int, node long, component long, n_shingles long, sig binary"
 
 
 def _cells(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
@@ -184,37 +184,60 @@ def near_in_cell(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return xs[order], ys[order]
 
 
+def cells_of(members: DataFrame) -> DataFrame:
+    """Each member (``key``, ``node``, ``component``, ``size``, ``main``, ``n_main``, ...) once for every cell it is compared in.
+
+    ``size`` members of a bucket, ``n_main`` of them in its largest component ``main``, are cut into
+    blocks of about BLOCK; a cell (``i``, ``j``) with i <= j gets blocks i and j. If there are several
+    blocks, the first ones are those of the main component, whose members are not compared with each
+    other: they meet the blocks of the others only. So a member is copied once for every
+    block of other components, not of its bucket.
+    """
+    placed = members.withColumns({
+        "mains": F.when(F.col("size") <= BLOCK, 0).otherwise(F.ceil(F.col("n_main") / BLOCK)).cast("int"),
+        "others": F.when(F.col("size") <= BLOCK, 1).otherwise(F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("n_main")) / BLOCK))).cast("int"),
+        "h": F.xxhash64("node"),
+    })
+    placed = placed.withColumn("in_main", F.expr("mains > 0 and component = main"))
+    placed = placed.withColumn("block", F.expr("cast(if(in_main, pmod(h, mains), mains + pmod(h, others)) as int)"))
+    cells = F.expr("transform(sequence(if(in_main, mains, 0), mains + others - 1), k -> struct(least(block, k) as i, greatest(block, k) as j))")
+    return placed.withColumn("cell", F.explode(cells)).withColumns({"i": F.col("cell.i"), "j": F.col("cell.j")})
+
+
+def attached(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``side``, by ``node``.
+
+    They are joined once a node, whose rows (one a bucket or cell) go through the join as a list.
+    """
+    listed = rows.groupBy("node").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "node"])).alias("listed"))
+    joined = side.join(listed, "node").withColumn("row", F.explode("listed"))
+    return joined.select(*side.columns, "row.*")
+
+
 def crossing_links(members: DataFrame, df: DataFrame, classes: DataFrame) -> DataFrame:
     """``a``, ``b``: links that join different components of a bucket, as many as it takes.
 
-    members: ``key``, ``node``, ``component``, ``size`` (of its bucket). A bucket is cut into blocks of
-    members; a task compares two blocks, so no task ever holds a bucket. A first pass finds the
+    members: ``key``, ``node``, ``component``; of their buckets ``size``, ``main``, ``n_main``. A bucket is
+    cut into blocks of members (see cells_of); a task compares two blocks, so no task ever holds a
+    bucket. A first pass finds the
     members with a near partner, by signature; a second one, with their full sets, tests
     near pairs from the nearest on and leaves out those it has joined by then. So no list of
     pairs ever leaves a task: of a cell come at most as many links as it has components.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
-    # A block meets itself and every other: cell (i, j) with i <= j gets blocks i and j.
-    cells = placed.select(
-        "*", F.explode(F.expr("transform(sequence(0, blocks - 1), k -> struct(least(block, k) as i, greatest(block, k) as j))")).alias("cell")
-    ).select("key", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "block", "node", "component")
-    described = cells.join(classes.select("node", "n_shingles", "sig"), "node").select(*_COLUMNS)
+    described = cells_of(attached(members, classes.select("node", "n_shingles", "sig"))).select(*_COLUMNS)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _cells(batches, _COLUMNS):
             used = np.unique(np.concatenate(near_in_cell(rows)))
             if len(used):
-                kept = list(zip(*(rows[k][:5] for k in used)))
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(kept, types)], names=list(_COLUMNS[:5]))
+                kept = list(zip(*(rows[k] for k in used)))
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(kept, types)], names=list(_COLUMNS))
 
     in_order = lambda x: x.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     used = written(in_order(described).mapInArrow(search, _CELL), "minhash-cells")
     wanted = written(classes.join(used.select("node").distinct(), "node", "left_semi").select("node", "id", "text_key"), "minhash-wanted")
-    sets = sets_of(df, wanted)
-    labels = members.select("node", "component").distinct()
-    full = used.join(labels, "node").join(classes.select("node", "n_shingles", "sig"), "node").join(sets, "node")
+    full = attached(used, sets_of(df, wanted))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _cells(batches, (*_COLUMNS, "shingles")):
@@ -280,10 +303,15 @@ def confirmed(pairs: DataFrame, df: DataFrame, classes: DataFrame, label: str) -
     return written(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), f"{label}-links")
 
 
-def nearest(pairs: DataFrame) -> DataFrame:
-    """Of each ``a`` the pair of least distance."""
-    by = Window.partitionBy("a").orderBy("distance", "b")
-    return pairs.withColumn("place", F.row_number().over(by)).filter("place = 1").drop("place")
+def ranked(pairs: DataFrame) -> DataFrame:
+    """Adds ``place``: 1 for the pair of least distance of each ``a``, which has as many pairs as keys at most."""
+    return pairs.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy("distance", "b")))
+
+
+def crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` whose ends are in different components."""
+    end = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"component_{x}"))
+    return pairs.join(end("a"), "a").join(end("b"), "b").filter("component_a != component_b").select("a", "b")
 
 
 def groups(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -296,9 +324,10 @@ def groups(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     chunk but for one symbol, so leaving out each symbol in turn makes all of them meet in a bucket.
 
     A bucket's members are first held against its least member, one pair each, which settles
-    groups of copies without all their pairs. Only buckets that then still hold members of
-    different components compare these, in blocks, on full sets (see crossing_links), so no
-    near pair of different components stays untested and no list of pairs is ever made.
+    groups of copies without all their pairs: the nearest pair of each class, then the others
+    that still cross components. So all pairs with a least member are settled. Only buckets whose other
+    members are then in different components compare these, in blocks, on full sets (see
+    crossing_links), so no near pair of different components stays untested and no list of all pairs is ever made.
     """
     df = pick(df, id=id_column, text=text_column)
     rows = written(describe(df), "minhash-rows")
@@ -311,17 +340,25 @@ def groups(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     # Near copies share most of their buckets, so there are far fewer of these pairs than members.
     pairs = written(members.filter("node != hub").select("node", "hub").distinct(), "minhash-pairs")
     stars = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    stars = written(nearest(distances(stars, classes)), "minhash-stars")
-    links = confirmed(stars, df, classes, "minhash-stars")
+    stars = written(ranked(distances(stars, classes)), "minhash-stars")
+    links = confirmed(stars.filter("place = 1"), df, classes, "minhash-stars")
 
     nodes = written(members.select("node").distinct(), "minhash-nodes")
     labels = written(components(nodes, links, "minhash"), "minhash-components")
-    # A bucket is open if its members are in different components. Classes take their component
+    others = written(crossing(stars.filter("place > 1"), labels), "minhash-others")
+    if not others.isEmpty():
+        links = links.unionByName(confirmed(others, df, classes, "minhash-others"))
+        labels = written(components(nodes, links, "minhash"), "minhash-components")
+    # A bucket is open if its members but the hub are in different components. Classes take their component
     # along into their keys, so the buckets are judged by an aggregate, without a join of members.
     labelled = written(bucket_keys(classes.select("node", "sig").join(labels, "node")), "minhash-labelled")
-    sizes = labelled.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
-    open_buckets = written(sizes.filter("least < most").select(F.col("key").alias("open_key"), "size"), "minhash-open-buckets")
-    still = labelled.join(open_buckets, F.col("key") == F.col("open_key")).select("key", "node", "component", "size")
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("node").alias("first"))
+    sizes = parts.groupBy("key").agg(
+        (F.sum("n") - 1).alias("size"), F.count("*").alias("parts"), F.min(F.struct("first", "n")).alias("hub"), F.max(F.struct("n", "component")).alias("largest")
+    ).filter("parts - if(hub.n = 1, 1, 0) > 1")
+    open_buckets = sizes.select(F.col("key").alias("open_key"), "size", F.col("hub.first").alias("hub"), F.col("largest.component").alias("main"), F.col("largest.n").alias("n_main"))
+    open_buckets = written(open_buckets, "minhash-open-buckets")
+    still = labelled.join(open_buckets, F.col("key") == F.col("open_key")).filter("node != hub").select("key", "node", "component", "size", "main", "n_main")
     still = written(still, "minhash-open")
     if not still.isEmpty():
         links = links.unionByName(written(crossing_links(still, df, classes), "minhash-crossing"))

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -79,6 +80,79 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, TEXT_SCHEMA)) == brute(rows)
 
 
+def near_copies(seed, n):
+    """One text with one to three words exchanged: some pairs link, more do not, nearly all meet in buckets."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = [f"w{k}" for k in range(100)]
+        for k in rng.sample(range(100), rng.randint(1, 3)):
+            words[k] = f"e{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [1024, 8])
+def test_joins_by_node_make_a_row_a_class(spark, monkeypatch, block):
+    """However many buckets and cells the near copies of a group share."""
+    monkeypatch.setattr(mh, "BLOCK", block)
+    rows = near_copies(4, 120)
+    df, joined = spark.createDataFrame(rows, TEXT_SCHEMA), []
+    join = type(df).join
+
+    def noted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if isinstance(on, str) and on == "node" and how is None:
+            joined.append(out)
+        return out
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(df), "join", noted)
+        got = found(df)
+    assert got == brute(rows) and len({g[2] for g in got}) > 10
+    assert len(joined) >= 2 and max(j.count() for j in joined) <= len(rows)
+
+
+def test_buckets_of_two_are_settled_by_their_hub(spark, monkeypatch):
+    """Pairs that meet but do not link leave no bucket open."""
+    rows = []
+    for base in range(20):
+        words = [f"b{base}w{k}" for k in range(100)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(f"x{k}" if k in (20, 40, 60, 80) else w for k, w in enumerate(words)))]
+    opened = []
+    crossing_links = mh.crossing_links
+
+    def noted(members, df, classes):
+        opened.append(members.count())
+        return crossing_links(members, df, classes)
+
+    monkeypatch.setattr(mh, "crossing_links", noted)
+    assert found(spark.createDataFrame(rows, TEXT_SCHEMA)) == brute(rows) and not opened
+
+
+def test_cells_hold_each_crossing_pair_once(spark, monkeypatch):
+    """A bucket's largest component is not copied once for every block of itself."""
+    monkeypatch.setattr(mh, "BLOCK", 4)
+    shapes = {1: [200, 2, 1], 2: [3, 1], 3: [6] * 5, 4: [9, 9, 9, 1, 1, 1, 1, 1, 1], 5: [1, 4]}
+    members = []
+    for key, sizes in shapes.items():
+        nodes = iter(range(10_000))
+        members += [(key, next(nodes) * 7919 + key, c, sum(sizes), sizes.index(max(sizes)), max(sizes)) for c, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame(members, "key long, node long, component long, size long, main long, n_main long")
+    cells = {}
+    for r in mh.cells_of(df).collect():
+        assert r.block in (r.i, r.j)
+        cells.setdefault((r.key, r.i, r.j), []).append(r)
+    met = Counter()
+    for (key, i, j), rows in cells.items():
+        for a, b in combinations(rows, 2):
+            if a.component != b.component and (i == j or a.block != b.block):
+                met[key, *sorted((a.node, b.node))] += 1
+    want = {(a[0], *sorted((a[1], b[1]))) for a, b in combinations(members, 2) if a[0] == b[0] and a[2] != b[2]}
+    assert set(met) == want and set(met.values()) == {1}
+    assert sum(len(rows) for (key, _, _), rows in cells.items() if key == 1) <= 200 + 3 * (50 + 1)
+
+
 def test_slices_change_nothing(spark, monkeypatch):
     """Documents of one batch that is read in many slices."""
     monkeypatch.setattr(mh, "slices", lambda batches, *_: slices(batches, 30))
