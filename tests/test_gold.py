@@ -200,3 +200,13 @@ def test_second_address_does_not_double_versions(spark):
     for build in (dimensions.dim_customer, dimensions.dim_customer_account):
         plain = build(tables.silver("cust_master"), address, *places)
         assert rows(build(tables.silver("cust_master"), twice, *places)) == rows(plain)
+
+
+def test_lines_without_their_flag_cost_no_twin_search(tables):
+    lines = tables.silver("sales_order_lines")
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_repeated" in optimized(lines)
+    fact = optimized(facts.fact_sales_order_lines(lines, tables.order_keys, tables.dim_product))
+    assert "_repeated" not in fact
+    # The outermost join brings the order's columns, after the product's key.
+    assert "_order#" in next(line for line in fact.splitlines() if "Join LeftOuter" in line)
