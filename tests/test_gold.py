@@ -1,6 +1,7 @@
 """Star schema integrity on the smallest data, calendar, checks and plan shapes."""
 
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,6 +203,19 @@ def test_second_address_does_not_double_versions(spark):
         assert rows(build(tables.silver("cust_master"), twice, *places)) == rows(plain)
 
 
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for top in folders for f in Path(top).rglob("shuffle_*") if f.is_file()}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    before = _shuffle_files(spark)
+    counted = spark.range(50_000).groupBy((F.col("id") % 7_000).alias("k")).count()
+    stored = warehouse.publish(counted, str(tmp_path / "t"))
+    assert _shuffle_files(spark) <= before
+    assert stored.count() == 7_000 and counted.count() == 7_000
+
+
 def test_lines_without_their_flag_cost_no_twin_search(tables):
     lines = tables.silver("sales_order_lines")
     optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
