@@ -216,6 +216,14 @@ def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
     assert stored.count() == 7_000 and counted.count() == 7_000
 
 
+def test_one_pass_shuffles_values_once(tables):
+    silver, gold = tables.stored()
+    refs = [*warehouse.FOREIGN_KEYS, *((f, c, "dim_date") for f, c in warehouse.DATE_KEYS)]
+    found = checks.key_faults({t: gold[t] for t in warehouse.SURROGATE_KEYS}, warehouse.SURROGATE_KEYS, refs)
+    # One by value, one for the single row.
+    assert plan(found).split("== Physical Plan ==")[1].count("Exchange") == 2
+
+
 def test_lines_without_their_flag_cost_no_twin_search(tables):
     lines = tables.silver("sales_order_lines")
     optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
