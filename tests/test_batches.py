@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from cairnlake.operators import keyed
 from cairnlake.operators.batch_log import BatchLog, NotInProgress, landed_batches
 from cairnlake.operators.clean import AuditTrail
 from cairnlake.plans import batches
@@ -106,3 +107,22 @@ def test_audit_counts_of_customers(spark):
     trail = AuditTrail()
     customer_batches(bronze(spark, "cust_master", [row("1", date(2020, 1, 1)), row("1", date(2021, 1, 1)), row("2", None)]), trail=trail).count()
     assert trail.counts() == {"delivered": 3, "with_keys": 2, "kept": 1}
+
+
+def test_upsert_of_a_batch_asks_nothing_it_knows(spark, tmp_path):
+    tracker, path = spark.sparkContext.statusTracker(), str(tmp_path / "t")
+
+    def load(batch, rows):
+        spark.sparkContext.setJobGroup(batch, batch)
+        try:
+            changes = keyed.upsert_keyed(path, spark.createDataFrame(rows, "k string, v int"), ["k"], ["v"], batch=batch, unique=True, carried=["v"])
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return sorted(tuple(r) for r in changes.select("k", "_old_v", "_new_v").collect()), len(tracker.getJobIdsForGroup(batch))
+
+    assert load("upsert-1", [("a", 1), ("b", 2)])[0] == [("a", None, 1), ("b", None, 2)]
+    # 16 with the question where the batch's new keys go.
+    changes, jobs = load("upsert-2", [("b", 3), ("c", 4)])
+    assert changes == [("b", 2, 3), ("c", None, 4)] and jobs <= 14
+    stored = spark.read.parquet(path).select("k", "v", "_place").collect()
+    assert sorted(tuple(r) for r in stored) == [("a", 1, "upsert-1"), ("b", 3, "upsert-1"), ("c", 4, "upsert-2")]
